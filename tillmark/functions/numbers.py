@@ -24,7 +24,7 @@ def is_integral(number: Column) -> Column:
 def quantity_issue(number: Column) -> Column:
     """Reject code for a parsed quantity; NULL when it is a whole number."""
     return (
-        F.when(number.isNull() | (F.abs(number) >= F.lit(2**63).cast("decimal(38,0)")), "quantity_invalid")
+        F.when(number.try_cast("bigint").isNull(), "quantity_invalid")
         .when(~is_integral(number), "quantity_not_integral")
     )
 
@@ -70,7 +70,7 @@ def count_display(number: Column) -> Column:
 
 def percent_display(number: Column) -> Column:
     """Percent with two decimals, no thousands separator."""
-    return F.concat(F.format_string("%.2f", number * 100), F.lit("%"))
+    return F.when(number.isNotNull(), F.concat(F.format_string("%.2f", number * 100), F.lit("%")))
 
 
 def blank_display(text: Column) -> Column:
