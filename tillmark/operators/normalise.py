@@ -61,17 +61,20 @@ def normalise_lines(mapped: DataFrame, keep: Sequence[str] = ("SourceRowId",)) -
     that is cancelled, free of charge or without a customer is kept and flagged.
     """
     date_type = mapped.schema["InvoiceDate"].dataType.simpleString()
-    parsed = mapped.select(
-        *keep,
-        T.clean_text(F.col("InvoiceNo")).alias("InvoiceNo"),
-        T.clean_text(F.col("StockCode")).alias("StockCode"),
-        T.text_or_null(F.col("Description")).alias("Description"),
-        N.parse_decimal(F.col("Quantity")).alias("quantity_read"),
-        F.col("InvoiceDate").isNull().alias("date_missing"),
-        parse_invoice_date(F.col("InvoiceDate"), date_type).alias("InvoiceDate"),
-        N.parse_decimal(F.col("UnitPrice")).alias("price_read"),
+    # Stage by stage, so that a cell is stripped once and parsed once.
+    stripped = mapped.select(
+        *keep, F.col("InvoiceDate").alias("date_read"),
+        *[T.clean_text(F.col(name)).alias(name) for name in ("InvoiceNo", "StockCode", "Country")],
+        *[T.text_or_null(F.col(name)).alias(name) for name in ("Description", "CustomerID")],
+        *[T.stripped(F.col(name)).alias(name) for name in ("Quantity", "UnitPrice")],
+    )
+    parsed = stripped.select(
+        *keep, "InvoiceNo", "StockCode", "Description", "Country",
+        F.col("Quantity").try_cast(N.WIDE).alias("quantity_read"),
+        F.col("date_read").isNull().alias("date_missing"),
+        parse_invoice_date(F.col("date_read"), date_type).alias("InvoiceDate"),
+        F.col("UnitPrice").try_cast(N.WIDE).alias("price_read"),
         T.canonical_customer_id(F.col("CustomerID")).alias("CustomerID"),
-        T.clean_text(F.col("Country")).alias("Country"),
     )
     return parsed.select(
         *keep, "InvoiceNo", "StockCode", "Description",

@@ -1,7 +1,9 @@
 """Contract-driven checks; every finding is one row of (code, scope, row, message).
 
-Row checks are one projection that turns a row into its findings. Key checks group
-before they join, so that a key with very many copies is never gathered in one task.
+Cell checks unpivot a row into its cells and run one small expression over them, however
+many columns the contract has; a wide expression per row would outgrow what the JVM
+compiles. Key checks group before they join, so that a key with very many copies is never
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -53,22 +55,15 @@ def spark_date_pattern(strptime_format: str) -> str:
     return re.sub(r"%(.)|([A-Za-z']+)", piece, strptime_format)
 
 
-def _blank(raw: Column) -> Column:
-    return F.coalesce(stripped(raw) == "", F.lit(True))
-
-
-def _number(raw: Column) -> Column:
-    return stripped(raw).try_cast("decimal(38,18)")
-
-
-def _type_ok(raw: Column, column: Mapping) -> Column:
-    text, kind = stripped(raw), column["type"]
+def _fits(text: Column, column: Mapping) -> Column:
+    """Whether stripped text has the column's type."""
+    kind = column["type"]
     if kind == "string":
-        return F.lit(True)
+        return text.isNotNull()
     if kind == "integer":
         return text.rlike(r"^(0|-?[1-9][0-9]*)$")
     if kind == "number":
-        return _number(raw).isNotNull()
+        return text.try_cast("decimal(38,18)").isNotNull()
     if kind == "boolean":
         return F.lower(text).isin(*BOOLEAN_WORDS)
     if kind in DEFAULT_FORMATS:
@@ -77,33 +72,70 @@ def _type_ok(raw: Column, column: Mapping) -> Column:
     raise ValueError(f"unsupported_type: {kind}")
 
 
-def _usable(name: str, columns: Mapping[str, Mapping]) -> Column:
-    raw = F.col(f"`{name}`")
-    return ~_blank(raw) & _type_ok(raw, columns[name])
+def _staged(table: DataFrame, columns: Mapping[str, Mapping], names: Sequence[str], keep: Sequence[Column]) -> DataFrame:
+    """Columns used together in a key or formula: stripped once, then tested once."""
+    texts = table.select(*keep, *[stripped(F.col(f"`{name}`")).alias(f"{name}|text") for name in names])
+    return texts.withColumns({
+        f"{name}|usable": F.coalesce((_part(name, "text") != "") & _fits(_part(name, "text"), columns[name]), F.lit(False))
+        for name in names
+    })
+
 
+def _part(name: str, part: str) -> Column:
+    return F.col(f"`{name}|{part}`")
 
-def _finding(test: Column, code: str, scope: str) -> Column:
-    return F.when(test, F.struct(F.lit(code).alias("code"), F.lit(scope).alias("scope")))
 
+Finding = tuple[str, str, Column]
 
-def _column_findings(column: Mapping) -> list[Column]:
-    name = column["name"]
-    raw = F.col(f"`{name}`")
-    blank, ok = _blank(raw), _type_ok(raw, column)
-    findings = []
-    if not column.get("nullable", True):
-        findings.append(_finding(blank, "null_not_allowed", name))
-    if column["type"] != "string":
-        findings.append(_finding(~blank & ~ok, "invalid_type", name))
-    if column.get("allowed_values") is not None:
-        allowed = [str(value) for value in column["allowed_values"]]
-        findings.append(_finding(~blank & ok & ~raw.isin(*allowed), "not_allowed", name))
-    for bound, code in (("min", "below_minimum"), ("max", "above_maximum")):
-        if bound in column:
-            limit = F.lit(Decimal(str(column[bound])))
-            outside = _number(raw) < limit if bound == "min" else _number(raw) > limit
-            findings.append(_finding(~blank & ok & outside, code, name))
-    return findings
+
+def _needed(column: Mapping, codes: Sequence[str]) -> bool:
+    """Whether any of the checks applies to the column at all."""
+    applies = {
+        "null_not_allowed": not column.get("nullable", True), "invalid_type": column["type"] != "string",
+        "not_allowed": column.get("allowed_values") is not None,
+        "below_minimum": "min" in column, "above_maximum": "max" in column,
+    }
+    return any(applies.get(code, False) for code in codes)
+
+
+def _by_scope(columns: Sequence[Mapping], value) -> Column:
+    """CASE over the cell's column; ``value`` gives each column its branch or None.
+
+    Columns with the same rule share a branch, so the expression grows with the number of
+    different rules only.
+    """
+    groups: dict[str, tuple[Column, list[str]]] = {}
+    for column in columns:
+        branch = value(column)
+        if branch is not None:
+            groups.setdefault(str(branch), (branch, []))[1].append(column["name"])
+    case = None
+    for branch, names in groups.values():
+        test = F.col("scope").isin(*names)
+        case = F.when(test, branch) if case is None else case.when(test, branch)
+    return F.lit(None) if case is None else case
+
+
+def _cell_findings(columns: Sequence[Mapping]) -> dict[str, Column]:
+    text, raw = F.col("text"), F.col("raw")
+    filled, usable = F.coalesce(text, F.lit("")) != "", F.col("usable")
+    # Reading a word as a number is slow, so only cells of bounded columns are read.
+    number = _by_scope(columns, lambda c: text.try_cast("decimal(38,18)") if {"min", "max"} & set(c) else None)
+    number = number.cast("decimal(38,18)")
+
+    def bound(side: str) -> Column:
+        return _by_scope(columns, lambda c: F.lit(Decimal(str(c[side]))).cast("decimal(38,10)") if side in c else None)
+
+    allowed = _by_scope(columns, lambda c: raw.isin(*[str(v) for v in c["allowed_values"]])
+                        if c.get("allowed_values") is not None else None)
+    required = [column["name"] for column in columns if not column.get("nullable", True)]
+    return {
+        "null_not_allowed": F.col("scope").isin(*required) & ~filled,
+        "invalid_type": filled & ~usable,
+        "not_allowed": usable & ~allowed.cast("boolean"),
+        "below_minimum": usable & (number < bound("min").cast("decimal(38,10)")),
+        "above_maximum": usable & (number > bound("max").cast("decimal(38,10)")),
+    }
 
 
 class _Operand:
@@ -151,44 +183,84 @@ def _formula_value(expression: str, columns: Mapping[str, Mapping]) -> Column:
         if name not in columns:
             raise ValueError(f"unknown_formula_column: {name}")
         kind = INTEGER_OPERAND if columns[name]["type"] == "integer" else NUMBER_OPERAND
-        operands[name] = _Operand(stripped(F.col(f"`{name}`")).try_cast(kind))
+        operands[name] = _Operand(_part(name, "text").try_cast(kind))
     # The tokens were checked above, so this evaluates operators over columns and nothing else.
     return _Operand.of(eval(expression, {"__builtins__": {}}, operands)).column  # noqa: S307
 
 
-def _rule_findings(rule: Mapping, columns: Mapping[str, Mapping], present: set[str]) -> list[Column]:
-    names = formula_names(rule["expression"]) | {rule["target"]}
-    value = _formula_value(rule["expression"], columns)
-    if not names <= present:
-        return []
-    usable = reduce(lambda a, b: a & b, [_usable(name, columns) for name in sorted(names)])
-    target = stripped(F.col(f"`{rule['target']}`")).try_cast(NUMBER_OPERAND)
-    tolerance = F.lit(Decimal(str(rule.get("tolerance", 0))))
-    difference = F.abs(target - value)
-    return [
-        _finding(usable & (difference > tolerance), "formula_mismatch", rule["name"]),
-        _finding(usable & difference.isNull(), "formula_evaluation_error", rule["name"]),
-    ]
-
-
-def _labelled(findings: DataFrame) -> DataFrame:
-    messages = F.create_map(*[F.lit(part) for item in MESSAGES.items() for part in item])
-    return findings.withColumn("message", messages[F.col("code")])
+CELL_CODES = ("null_not_allowed", "invalid_type", "not_allowed", "below_minimum", "above_maximum")
+RULE_CODES = ("formula_mismatch", "formula_evaluation_error")
 
 
 def row_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[str] | None = None) -> DataFrame:
     """Blank, type, allowed-value, range and formula findings; ``row`` names the row locator.
 
-    ``codes`` keeps only some checks, and only what those need is computed.
+    ``codes`` keeps only some checks, and only the columns those need are looked at. Formula
+    results ride along as one more cell per rule, so the table is read once.
     """
+    wanted = [code for code in (*CELL_CODES, *RULE_CODES) if codes is None or code in codes]
     columns = {column["name"]: column for column in contract["columns"]}
     present = set(table.columns)
-    findings = [test for name, column in columns.items() if name in present for test in _column_findings(column)]
-    for rule in contract.get("row_rules", []):
-        findings += _rule_findings(rule, columns, present)
-    rows = table.select(F.col(row).alias("row"), F.explode(F.array_compact(F.array(*findings))).alias("found"))
-    result = rows.select("found.code", "found.scope", "row")
-    return _labelled(result if codes is None else result.filter(F.col("code").isin(*codes)))
+    checked = [column for name, column in columns.items() if name in present and _needed(column, wanted)]
+    cells = {column["name"]: F.col(f"`{column['name']}`").cast("string") for column in checked}
+    source = table.withColumn("|row", F.col(row))
+
+    rules: dict[str, Column] = {}
+    if set(RULE_CODES) & set(wanted):
+        for rule in contract.get("row_rules", []):
+            names = formula_names(rule["expression"]) | {rule["target"]}
+            value = _formula_value(rule["expression"], columns)
+            if names <= present:
+                rules[rule["name"]] = _rule_code(rule, names, value, wanted)
+        operands = sorted({
+            name for rule in contract.get("row_rules", []) for name in formula_names(rule["expression"]) | {rule["target"]}
+            if name in present
+        })
+        source = _staged(table, columns, operands, [F.col(row).alias("|row"), *[v.alias(n) for n, v in cells.items()]])
+        cells = {name: F.col(f"`{name}`") for name in cells}
+    wide = source.select(
+        F.col("|row").alias("row"), *[value.alias(name) for name, value in cells.items()],
+        *[value.alias(f"rule|{name}") for name, value in rules.items()],
+    )
+    if not cells and not rules:
+        wide = wide.withColumn("rule|", F.lit(None).cast("string"))
+    long = wide.unpivot(["row"], [name for name in wide.columns if name != "row"], "scope", "raw")
+
+    is_rule = F.col("scope").startswith("rule|")
+    typed = long.withColumn("text", stripped(F.col("raw"))).withColumn(
+        "usable", ~is_rule & F.coalesce((F.col("text") != "") & _by_scope(
+            checked, lambda column: _fits(F.col("text"), column)).cast("boolean"), F.lit(False)),
+    )
+    tests = {code: test for code, test in _cell_findings(checked).items() if code in wanted}
+    names = F.array(*[F.lit(code) for code in (*CELL_CODES, *RULE_CODES)])
+    number = {code: place for place, code in enumerate((*CELL_CODES, *RULE_CODES), 1)}
+    found = F.array(
+        *[F.when(~is_rule & test, number[code]).otherwise(0) for code, test in tests.items()],
+        F.when(is_rule, F.coalesce(F.array_position(names, F.col("raw")).cast("int"), F.lit(0))).otherwise(0),
+    )
+    numbered = typed.select("row", "scope", F.array_remove(found, 0).alias("numbers")).select(
+        "row", "scope", F.explode("numbers").alias("number")
+    )
+    return _labelled(numbered.select(
+        F.element_at(names, F.col("number")).alias("code"),
+        F.regexp_replace("scope", "^rule[|]", "").alias("scope"), "row",
+    ))
+
+
+def _rule_code(rule: Mapping, names: set[str], value: Column, wanted: Sequence[str]) -> Column:
+    """Finding of one formula rule, NULL when it holds or an input is blank or invalid."""
+    usable = reduce(lambda a, b: a & b, [_part(name, "usable") for name in sorted(names)])
+    tolerance = F.lit(Decimal(str(rule.get("tolerance", 0))))
+    difference = F.abs(_part(rule["target"], "text").try_cast(NUMBER_OPERAND) - value)
+    code = F.when(usable & difference.isNull(), "formula_evaluation_error").when(
+        usable & (difference > tolerance), "formula_mismatch"
+    )
+    return F.when(code.isin(*[name for name in RULE_CODES if name in wanted]), code)
+
+
+def _labelled(findings: DataFrame) -> DataFrame:
+    messages = F.create_map(*[F.lit(part) for item in MESSAGES.items() for part in item])
+    return findings.withColumn("message", messages[F.col("code")])
 
 
 def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[str] | None = None) -> DataFrame:
@@ -201,27 +273,27 @@ def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
     key_parts = contract["dataset"]["primary_key"]
     present = set(table.columns)
 
-    def candidate(code: str, scope: str, usable: Column, parts: list[Column]) -> Column:
-        return F.when(usable, F.struct(
-            F.lit(code).alias("code"), F.lit(scope).alias("scope"), F.array(*parts).alias("key")))
-
-    candidates = []
+    kinds: list[tuple[str, str, Column, Column]] = []
     if set(key_parts) <= present:
-        texts = [F.coalesce(stripped(F.col(f"`{part}`")), F.lit("")) for part in key_parts]
+        texts = [F.coalesce(_part(part, "text"), F.lit("")) for part in key_parts]
         complete = reduce(lambda a, b: a & b, [text != "" for text in texts])
-        candidates.append(candidate("duplicate_primary_key", ",".join(key_parts), complete, texts))
+        kinds.append(("duplicate_primary_key", ",".join(key_parts), complete, F.array(*texts)))
     for name, column in columns.items():
         if column.get("unique", False) and name in present:
-            raw = F.col(f"`{name}`").cast("string")
-            candidates.append(candidate("duplicate_unique_value", name, _usable(name, columns), [raw]))
-    keyed = table.select(
-        F.col(row).alias("row"), F.explode(F.array_compact(F.array(*candidates))).alias("k")
-    ).select("row", "k.*") if candidates else table.select(
-        F.col(row).alias("row"), F.lit(None).cast("string").alias("code"), F.lit(None).cast("string").alias("scope"),
-        F.array().cast("array<string>").alias("key"),
-    ).filter(F.lit(False))
+            kinds.append(("duplicate_unique_value", name, _part(name, "usable"), F.array(F.col(f"`{name}|raw`"))))
     if codes is not None:
-        keyed = keyed.filter(F.col("code").isin(*codes))
+        kinds = [kind for kind in kinds if kind[0] in codes]
+    if not kinds:
+        kinds = [("", "", F.lit(False), F.array(F.lit("")))]
+    unique = [name for name, column in columns.items() if column.get("unique", False) and name in present]
+    used = sorted({*(part for part in key_parts if part in present), *unique})
+    staged = _staged(table, columns, used, [
+        F.col(row).alias("row"), *[F.col(f"`{name}`").cast("string").alias(f"{name}|raw") for name in unique],
+    ])
+    keyed = staged.select("row", F.inline(F.array(*[
+        F.struct(F.lit(code).alias("code"), F.lit(scope).alias("scope"), F.when(usable, key).alias("key"))
+        for code, scope, usable, key in kinds
+    ]))).filter(F.col("key").isNotNull())
     by_key = ["code", "scope", "key"]
     repeated = keyed.groupBy(*by_key).agg(F.min("row").alias("first_row"), F.count("*").alias("copies")).filter(
         "copies > 1"
@@ -233,21 +305,22 @@ def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
 def table_issues(table: DataFrame, contract: Mapping, row: str) -> DataFrame:
     """Missing required columns and row-count bounds; these have no row."""
     expectations = contract.get("expectations", {})
-    missing = [c["name"] for c in contract["columns"] if c.get("required", False) and c["name"] not in table.columns]
-    findings = [_finding(F.lit(True), "missing_required_column", name) for name in missing]
+    count = F.col("row_count")
+    findings: list[Finding] = [
+        ("missing_required_column", column["name"], F.lit(True)) for column in contract["columns"]
+        if column.get("required", False) and column["name"] not in table.columns
+    ]
     if expectations.get("min_rows") is not None:
-        findings.append(_finding(F.col("row_count") < expectations["min_rows"], "below_minimum_rows",
-                                 "expectations.min_rows"))
+        findings.append(("below_minimum_rows", "expectations.min_rows", count < expectations["min_rows"]))
     if expectations.get("max_rows") is not None:
-        findings.append(_finding(F.col("row_count") > expectations["max_rows"], "above_maximum_rows",
-                                 "expectations.max_rows"))
-    findings.append(_finding(F.lit(False), "", ""))
-    counted = table.agg(F.count("*").alias("row_count"))
-    locator = table.schema[row].dataType
-    return _labelled(
-        counted.select(F.explode(F.array_compact(F.array(*findings))).alias("found"))
-        .select("found.code", "found.scope", F.lit(None).cast(locator).alias("row"))
-    )
+        findings.append(("above_maximum_rows", "expectations.max_rows", count > expectations["max_rows"]))
+    candidates = F.array(*[
+        F.struct(F.lit(code).alias("code"), F.lit(scope).alias("scope"), test.alias("found"))
+        for code, scope, test in findings or [("", "", F.lit(False))]
+    ])
+    nowhere = F.lit(None).cast(table.schema[row].dataType)
+    counted = table.agg(F.count("*").alias("row_count")).select(F.inline(candidates)).filter("found")
+    return _labelled(counted.select("code", "scope", nowhere.alias("row")))
 
 
 def issue_list(table: DataFrame, contract: Mapping, row: str) -> DataFrame:

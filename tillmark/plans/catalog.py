@@ -192,7 +192,7 @@ def parse_unit_price(spark, sf_dir):
 @query
 def canonical_customer_id(spark, sf_dir):
     return _mapped_raw(spark, sf_dir).select(
-        "SourceRowId", T.canonical_customer_id(F.col("CustomerID")).alias("CustomerID")
+        "SourceRowId", T.canonical_customer_id(T.text_or_null(F.col("CustomerID"))).alias("CustomerID")
     )
 
 

@@ -18,6 +18,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot does not compile methods above 8000 bytes of bytecode. Stages of many wide text
+    # expressions exceed that; with this limit Spark splits them into methods that compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

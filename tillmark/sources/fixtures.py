@@ -159,21 +159,18 @@ def contract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def security_bridge(spark: SparkSession) -> DataFrame:
     """User-to-country grants for the simulated roles."""
-    return spark.createDataFrame(
-        [
-            ("manager.a@example.invalid", "NATION_2", True),
-            ("manager.b@example.invalid", "NATION_7", True),
-            ("manager.b@example.invalid", "NATION_11", True),
-            ("former.c@example.invalid", "NATION_3", False),
-        ],
-        "UserPrincipalName string, Country string, IsActive boolean",
-    )
+    return spark.sql("""
+        SELECT * FROM VALUES
+          ('manager.a@example.invalid', 'NATION_2', true), ('manager.b@example.invalid', 'NATION_7', true),
+          ('manager.b@example.invalid', 'NATION_11', true), ('former.c@example.invalid', 'NATION_3', false)
+        AS grants(UserPrincipalName, Country, IsActive)
+    """)
 
 
 def security_users(spark: SparkSession) -> DataFrame:
     """The users above and one without any grant."""
-    return spark.createDataFrame(
-        [("manager.a@example.invalid",), ("manager.b@example.invalid",),
-         ("former.c@example.invalid",), ("unmapped.d@example.invalid",)],
-        "UserPrincipalName string",
-    )
+    return spark.sql("""
+        SELECT * FROM VALUES ('manager.a@example.invalid'), ('manager.b@example.invalid'),
+          ('former.c@example.invalid'), ('unmapped.d@example.invalid')
+        AS users(UserPrincipalName)
+    """)
