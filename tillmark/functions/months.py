@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,18 @@ def in_month(moment: Column, text: str, shift: int = 0) -> Column:
     """Half-open range test, which reaches the parquet scan; a formatted text would not."""
     first, after = (F.lit(f"{day} 00:00:00").cast("timestamp_ntz") for day in month_bounds(text, shift))
     return (moment >= first) & (moment < after)
+
+
+def filter_months(table: DataFrame, months: list[str], shifts: tuple[int, ...] = (0,)) -> DataFrame:
+    """Rows of the given months and of the months ``shifts`` away from them.
+
+    A stored model is partitioned by YearMonth, so there the other months are not even listed.
+    """
+    wanted = [(text, shift) for text in months for shift in shifts]
+    if "YearMonth" in table.columns:
+        keys = sorted({month_bounds(text, shift)[0].strftime("%Y-%m") for text, shift in wanted})
+        table = table.filter(F.col("YearMonth").isin(*keys))
+    test = F.lit(False)
+    for text, shift in wanted:
+        test = test | in_month(F.col("InvoiceDate"), text, shift)
+    return table.filter(test)

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.functions.months import in_month, month_start, year_month
+from tillmark.functions.months import filter_months, in_month, month_start, year_month
 from tillmark.functions.numbers import ratio, relative_change
 
 BASE_MEASURES = (
@@ -253,8 +253,8 @@ def measures_for_month(fact: DataFrame, month: str) -> DataFrame:
         .when(in_month(moment, month, -1), "previous")
         .when(in_month(moment, month, -12), "prior_year")
     )
-    needed = in_month(moment, month, -12) | in_month(moment, month, -1) | in_month(moment, month)
-    by_period = measures_by(fact.filter(needed).withColumn("period", period), ["period"])
+    needed = filter_months(fact, [month], (0, -1, -12))
+    by_period = measures_by(needed.withColumn("period", period), ["period"])
 
     def pick(name: str, wanted: str) -> Column:
         return F.coalesce(F.max(F.when(F.col("period") == wanted, F.col(name))), F.lit(0))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.functions.months import in_month, month_index, month_start, year_month
+from tillmark.functions.months import filter_months, in_month, month_index, month_start, shifted_month, year_month
 from tillmark.functions.numbers import relative_change
 
 
@@ -40,7 +40,7 @@ def monthly_changes(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def period_net_sales(fact: DataFrame, month: str, country: str | None = None) -> DataFrame:
     """Net sales of one month, zero when there are none."""
-    chosen = fact.filter(in_month(F.col("InvoiceDate"), month))
+    chosen = filter_months(fact, [month])
     if country is not None:
         chosen = chosen.filter(F.col("Country") == country)
     return chosen.agg(F.coalesce(F.sum("LineAmount"), F.lit(0)).alias("net_sales"))
@@ -53,12 +53,10 @@ def changes_in_scope(fact: DataFrame, months: Sequence[str]) -> DataFrame:
     """
     moment = F.col("InvoiceDate")
     selected = F.lit(False)
-    needed = F.lit(False)
     for text in months:
         selected = selected | in_month(moment, text)
-        for shift in (0, -1, -12):
-            needed = needed | in_month(moment, text, shift)
-    by_month = monthly_net(fact.filter(needed).withColumn("InScope", selected), ["InScope"])
+    needed = filter_months(fact, list(months), (0, -1, -12))
+    by_month = monthly_net(needed.withColumn("InScope", selected), ["InScope"])
     with_all = with_changes(
         by_month.groupBy("Month").agg(F.sum("net_sales").alias("net_sales"), F.bool_or("InScope").alias("InScope")),
         "Month", "net_sales",
@@ -74,8 +72,6 @@ def changes_in_scope(fact: DataFrame, months: Sequence[str]) -> DataFrame:
 
 def month_offsets(fact: DataFrame) -> DataFrame:
     """Each month that occurs with the month before it and the same month a year earlier."""
-    from tillmark.functions.months import shifted_month
-
     months = fact.select(month_start(F.col("InvoiceDate")).alias("Month")).distinct()
     return months.select(
         year_month(F.col("Month")).alias("YearMonth"),

@@ -8,6 +8,7 @@ gathered in one task.
 
 from __future__ import annotations
 
+import keyword
 import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
@@ -172,7 +173,8 @@ def formula_names(expression: str) -> set[str]:
     number, name = r"\d+(?:\.\d*)?(?:[eE][+-]?\d+)?|\.\d+", r"[A-Za-z_]\w*"
     tokens = re.findall(rf"\s*({number}|{name}|\*\*|//|[-+*/()])", expression)
     called = re.search(rf"({name}|\))\s*\(", expression)
-    if "".join(tokens) != re.sub(r"\s", "", expression) or {"**", "//"} & set(tokens) or called or not tokens:
+    refused = {"**", "//"} & set(tokens) or any(map(keyword.iskeyword, tokens)) or called or not tokens
+    if refused or "".join(tokens) != re.sub(r"\s", "", expression):
         raise ValueError(f"unsupported_formula_expression: {expression}")
     return {token for token in tokens if re.fullmatch(name, token)}
 
@@ -185,7 +187,10 @@ def _formula_value(expression: str, columns: Mapping[str, Mapping]) -> Column:
         kind = INTEGER_OPERAND if columns[name]["type"] == "integer" else NUMBER_OPERAND
         operands[name] = _Operand(_part(name, "text").try_cast(kind))
     # The tokens were checked above, so this evaluates operators over columns and nothing else.
-    return _Operand.of(eval(expression, {"__builtins__": {}}, operands)).column  # noqa: S307
+    try:
+        return _Operand.of(eval(expression, {"__builtins__": {}}, operands)).column  # noqa: S307
+    except SyntaxError as error:
+        raise ValueError(f"unsupported_formula_expression: {expression}") from error
 
 
 CELL_CODES = ("null_not_allowed", "invalid_type", "not_allowed", "below_minimum", "above_maximum")

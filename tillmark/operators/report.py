@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions import numbers as N
-from tillmark.functions.months import in_month
+from tillmark.functions.months import filter_months, in_month, month_start, year_month
 from tillmark.operators.measures import (
-    BASE_MEASURES, REPORTED_MEASURES, long_measures, measures_by, measures_for_month,
+    REPORTED_MEASURES, long_measures, measures_by, measures_for_month,
 )
-from tillmark.operators.periods import changes_in_scope, monthly_net
-from tillmark.functions.months import month_start, year_month
+from tillmark.operators.periods import monthly_net
 from tillmark.plans.contracts import MEASURE_FORMATS, PAGE_CARDS, PAGE_FILTERS
 
 SLICER_FIELDS = ("YearMonth", "Country", "StockCode", "CustomerID")
@@ -37,7 +36,9 @@ def slicer_condition(field: str, values: Sequence[str | None]) -> Column:
 def slicer_filter(fact: DataFrame, selection: Mapping[str, Sequence[str | None]]) -> DataFrame:
     """Lines that match every field; an absent or empty field selects all."""
     for field, values in selection.items():
-        if values:
+        if values and field == "YearMonth":
+            fact = filter_months(fact, list(values))
+        elif values:
             fact = fact.filter(slicer_condition(field, values))
     return fact
 

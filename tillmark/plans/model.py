@@ -40,8 +40,6 @@ def refresh_model(fact: DataFrame, path: str) -> StarModel:
 
 def open_model(spark: SparkSession, path: str) -> StarModel:
     """Read a stored model; ``fact`` carries the partition column YearMonth as well."""
-    fact = spark.read.option("basePath", f"{path}/fact").parquet(f"{path}/fact")
-    if dict(fact.dtypes)["YearMonth"] != "string":
-        fact = fact.withColumn("YearMonth", year_month(F.col("InvoiceDate")))
+    fact = spark.read.parquet(f"{path}/fact")
     return StarModel(fact, *[spark.read.parquet(f"{path}/{name}") for name in
                              ("dates", "products", "customers", "countries")])
