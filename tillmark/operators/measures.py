@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.functions.months import filter_months, in_month, month_start, year_month
+from tillmark.functions.months import filter_months, in_month, year_month
 from tillmark.functions.numbers import ratio, relative_change
 
 BASE_MEASURES = (
@@ -57,79 +57,77 @@ def _not_blank(name: str) -> Column:
     return F.nullif(F.trim(F.col(name)), F.lit("")).isNotNull()
 
 
-def _sum_columns() -> list[Column]:
-    completed, amount = is_completed(), F.col("LineAmount")
-    return [
-        F.sum(F.when(completed, amount)).alias("gross_sales"),
-        F.sum(F.when(is_cancelled(), F.abs(amount))).alias("cancelled_sales"),
-        F.sum(amount).alias("net_sales"),
-        F.sum(F.when(completed, F.col("Quantity").cast("bigint"))).alias("units_sold"),
-    ]
-
-
-def _flagged_lines(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fact.select(
-        *keys, "InvoiceNo", "CustomerID",
-        F.coalesce(is_completed(), F.lit(False)).alias("completed"),
-        F.coalesce(is_cancelled(), F.lit(False)).alias("cancelled"),
-    )
-
-
-def _entries(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Invoice and customer entries of flagged lines."""
-    invoice, customer = F.col("InvoiceNo"), F.col("CustomerID")
-    trimmed = F.nullif(F.trim(invoice), F.lit(""))
-
-    def entry(member: Column, is_customer: bool, ordered: Column, cancelled: Column, listed: Column) -> Column:
-        return F.struct(
-            F.lit(is_customer).alias("is_customer"), member.alias("member"),
-            ordered.alias("ordered"), cancelled.alias("cancelled"), listed.alias("listed"),
-        )
-
-    no = F.lit(False)
-    has_number = invoice.isNotNull()
-    named = entry(invoice, False, F.col("completed") & has_number, F.col("cancelled") & has_number,
-                  F.coalesce(invoice == trimmed, no))
-    # Orders count invoice numbers as written, all invoices count trimmed ones. A number
-    # with outer blanks therefore adds a second entry under its trimmed spelling.
-    respelled = entry(trimmed, False, no, no, F.lit(True))
-    known = entry(customer, True, no, no, no)
-    needs_respelling = trimmed.isNotNull() & (invoice != trimmed)
-    counts_customer = F.col("completed") & _not_blank("CustomerID")
-    entries = (
-        F.when(needs_respelling & counts_customer, F.array(named, respelled, known))
-        .when(counts_customer, F.array(named, known))
-        .when(needs_respelling, F.array(named, respelled))
-        .otherwise(F.array(named))
-    )
-    return lines.select(*keys, F.inline(entries))
-
-
-def _member_flags() -> list[Column]:
-    return [F.max(name).alias(name) for name in ("ordered", "cancelled", "listed")]
-
-
-def _count_columns() -> list[Column]:
-    return [
-        F.count_if("ordered").alias("order_count"),
-        F.count_if("is_customer").alias("active_customers"),
-        F.count_if("cancelled").alias("cancelled_invoice_count"),
-        F.count_if("listed").alias("all_invoice_count"),
-    ]
-
-
-def _counts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
-    entries = _entries(_flagged_lines(fact, keys), keys)
-    members = entries.groupBy(*keys, "is_customer", "member").agg(*_member_flags())
-    return members.groupBy(*keys).agg(*_count_columns())
-
-
-def _combined(sums: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sums and counts side by side. A union and not a join, so NULL keys meet as well."""
-    both = sums.unionByName(counts, allowMissingColumns=True).groupBy(*keys).agg(
-        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in BASE_MEASURES]
+# The measure plans are SQL text: one statement is parsed and analysed once, where building
+# the same columns call by call took longer than running them on a small slice.
+_LINES = """
+  SELECT *, coalesce(NOT IsCancellation AND Quantity > 0 AND UnitPrice > 0, false) AS completed,
+         coalesce(IsCancellation, false) AS cancelled
+  FROM {fact}"""
+
+_SUMS = """
+  sum(LineAmount) FILTER (WHERE completed) AS gross_sales,
+  sum(abs(LineAmount)) FILTER (WHERE cancelled) AS cancelled_sales,
+  sum(LineAmount) AS net_sales,
+  sum(CAST(Quantity AS BIGINT)) FILTER (WHERE completed) AS units_sold"""
+
+# Orders count invoice numbers as written, all invoices count trimmed ones. A number with
+# outer blanks therefore adds a second entry under its trimmed spelling.
+_ENTRIES = """
+  inline(CASE
+    WHEN respelled AND buyer THEN array(named, other, known) WHEN buyer THEN array(named, known)
+    WHEN respelled THEN array(named, other) ELSE array(named) END)
+  FROM (
+    SELECT *,
+      coalesce(InvoiceNo <> nullif(trim(InvoiceNo), ''), false) AS respelled,
+      completed AND coalesce(trim(CustomerID) <> '', false) AS buyer,
+      struct(false AS is_customer, InvoiceNo AS member, completed AND InvoiceNo IS NOT NULL AS ordered,
+             cancelled AND InvoiceNo IS NOT NULL AS cancelled,
+             coalesce(InvoiceNo = nullif(trim(InvoiceNo), ''), false) AS listed) AS named,
+      struct(false AS is_customer, trim(InvoiceNo) AS member, false AS ordered, false AS cancelled,
+             true AS listed) AS other,
+      struct(true AS is_customer, CustomerID AS member, false AS ordered, false AS cancelled,
+             false AS listed) AS known
+    FROM {source})"""
+
+_FLAGS = "max(ordered) AS ordered, max(cancelled) AS cancelled, max(listed) AS listed"
+
+_COUNTS = """
+  count_if(ordered) AS order_count, count_if(is_customer) AS active_customers,
+  count_if(cancelled) AS cancelled_invoice_count, count_if(listed) AS all_invoice_count"""
+
+# Sums and counts side by side, and the ratios. A union and not a join, so NULL keys meet too.
+_COMBINED = """
+  SELECT *, try_divide(CAST(gross_sales AS DOUBLE), CAST(order_count AS DOUBLE)) AS average_order_value,
+    try_divide(CAST(cancelled_invoice_count AS DOUBLE), CAST(all_invoice_count AS DOUBLE)) AS cancellation_rate
+  FROM (
+    SELECT {keys} coalesce(max(gross_sales), 0) AS gross_sales, coalesce(max(cancelled_sales), 0) AS cancelled_sales,
+      coalesce(max(net_sales), 0) AS net_sales, coalesce(max(order_count), 0) AS order_count,
+      coalesce(max(units_sold), 0) AS units_sold, coalesce(max(active_customers), 0) AS active_customers,
+      coalesce(max(cancelled_invoice_count), 0) AS cancelled_invoice_count,
+      coalesce(max(all_invoice_count), 0) AS all_invoice_count
+    FROM (
+      SELECT {keys} gross_sales, cancelled_sales, net_sales, units_sold, NULL AS order_count, NULL AS active_customers,
+        NULL AS cancelled_invoice_count, NULL AS all_invoice_count FROM sums
+      UNION ALL
+      SELECT {keys} NULL, NULL, NULL, NULL, order_count, active_customers, cancelled_invoice_count, all_invoice_count
+      FROM counts)
+    {group})"""
+
+
+def _key_lists(keys: Sequence[str]) -> tuple[str, str]:
+    """Select prefix and GROUP BY clause of a list of keys, which may be empty."""
+    names = ", ".join(f"`{key}`" for key in keys)
+    return (f"{names}, ", f"GROUP BY {names}") if keys else ("", "")
+
+
+def _counts_sql(keys: Sequence[str]) -> str:
+    prefix, group = _key_lists(keys)
+    _, by_member = _key_lists([*keys, "is_customer", "member"])
+    return (
+        f"entries AS (SELECT {prefix}{_ENTRIES.replace('{source}', 'lines')}), "
+        f"members AS (SELECT {prefix}is_customer, member, {_FLAGS} FROM entries {by_member}), "
+        f"counts AS (SELECT {prefix}{_COUNTS} FROM members {group})"
     )
-    return with_ratios(both)
 
 
 def with_ratios(measures: DataFrame) -> DataFrame:
@@ -141,7 +139,12 @@ def with_ratios(measures: DataFrame) -> DataFrame:
 
 def measures_by(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Eight base measures and two ratios per group; without keys, one row, also for no input."""
-    return _combined(fact.groupBy(*keys).agg(*_sum_columns()), _counts(fact, keys), keys)
+    prefix, group = _key_lists(keys)
+    combined = _COMBINED.replace("{keys}", prefix).replace("{group}", group)
+    return fact.sparkSession.sql(
+        f"WITH lines AS ({_LINES}), sums AS (SELECT {prefix}{_SUMS} FROM lines {group}), "
+        f"{_counts_sql(keys)} {combined}", fact=fact,
+    )
 
 
 def sum_measure(fact: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -178,7 +181,8 @@ def average_order_value(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def cancellation_rate(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Cancelled invoices as a share of all invoices."""
-    return _counts(fact, keys).select(
+    counts = fact.sparkSession.sql(f"WITH lines AS ({_LINES}), {_counts_sql(keys)} SELECT * FROM counts", fact=fact)
+    return counts.select(
         *keys, ratio(F.col("cancelled_invoice_count"), F.col("all_invoice_count")).alias("cancellation_rate")
     )
 
@@ -202,38 +206,36 @@ def measures_all_slices(fact: DataFrame) -> DataFrame:
 
     ``slice_id`` is ``all``, ``country`` or ``month``; the change measures exist for months.
     """
-    keys, member = ["Country", "Month"], ["is_customer", "member"]
-    dated = fact.withColumn("Month", month_start(F.col("InvoiceDate")))
-    by_cell = dated.groupBy(*keys).agg(*_sum_columns())
-    sums = by_cell.groupingSets([[], ["Country"], ["Month"]], *keys).agg(
-        _slice_id(), *[F.sum(name).alias(name) for name in ("gross_sales", "cancelled_sales", "net_sales", "units_sold")]
-    )
-    # Every line would enter three groupings, so lines shrink to invoices first.
-    invoices = _flagged_lines(dated, keys).groupBy(*keys, "InvoiceNo", "CustomerID").agg(
-        F.max("completed").alias("completed"), F.max("cancelled").alias("cancelled")
-    )
-    counts = (
-        _entries(invoices, keys)
-        .groupingSets([member, ["Country", *member], ["Month", *member]], *keys, *member)
-        .agg(_slice_id(), *_member_flags())
-        .groupBy("slice_id", *keys).agg(*_count_columns())
-    )
     from tillmark.operators.periods import with_changes
 
-    measures = _combined(sums, counts, ["slice_id", *keys])
+    # Named by grouping(), which stays right for rows whose country is NULL.
+    slice_id = ("CASE WHEN grouping(Country) = 0 THEN 'country' WHEN grouping(Month) = 0 THEN 'month' ELSE 'all' END "
+                "AS slice_id")
+    combined = _COMBINED.replace("{keys}", "slice_id, Country, Month, ").replace(
+        "{group}", "GROUP BY slice_id, Country, Month")
+    measures = fact.sparkSession.sql(f"""
+        WITH lines AS ({_LINES.replace("SELECT *", "SELECT *, trunc(CAST(InvoiceDate AS DATE), 'MM') AS Month")}),
+        cells AS (SELECT Country, Month, {_SUMS} FROM lines GROUP BY Country, Month),
+        sums AS (
+          SELECT {slice_id}, Country, Month, sum(gross_sales) AS gross_sales, sum(cancelled_sales) AS cancelled_sales,
+            sum(net_sales) AS net_sales, sum(units_sold) AS units_sold
+          FROM cells GROUP BY GROUPING SETS ((), (Country), (Month))),
+        -- Every line would enter three groupings, so lines shrink to invoices first.
+        invoices AS (
+          SELECT Country, Month, InvoiceNo, CustomerID, max(completed) AS completed, max(cancelled) AS cancelled
+          FROM lines GROUP BY Country, Month, InvoiceNo, CustomerID),
+        entries AS (SELECT Country, Month, {_ENTRIES.replace("{source}", "invoices")}),
+        members AS (
+          SELECT {slice_id}, Country, Month, is_customer, member, {_FLAGS} FROM entries
+          GROUP BY GROUPING SETS ((is_customer, member), (Country, is_customer, member), (Month, is_customer, member))),
+        counts AS (SELECT slice_id, Country, Month, {_COUNTS} FROM members GROUP BY slice_id, Country, Month)
+        {combined}""", fact=fact)
     value = F.when(F.col("slice_id") == "country", F.col("Country")).otherwise(year_month(F.col("Month")))
     return with_changes(measures.withColumn("slice_value", value), "Month", "net_sales", ["slice_id"]).select(
         "slice_id", "slice_value", *BASE_MEASURES, *RATIO_MEASURES, *CHANGE_MEASURES
     )
 
 
-def _slice_id() -> Column:
-    """Name of the grouping set, which stays right for rows whose country is NULL."""
-    return (
-        F.when(F.grouping("Country") == 0, "country").when(F.grouping("Month") == 0, "month").otherwise("all")
-    ).alias("slice_id")
-
-
 def measures_for_country(fact: DataFrame, country: str) -> DataFrame:
     """The country slice; month-on-month and year-on-year do not apply."""
     nothing = F.lit(None).cast("double")
