@@ -42,3 +42,8 @@ def differences(frame, connection, sql: str) -> list[str]:
     order = sorted(oracle_columns)
     ours, theirs = _sorted(rows, frame.columns, order), _sorted(oracle_rows, oracle_columns, order)
     return [f"{a} / {b}" for a, b in zip(ours, theirs) if a != b][:5]
+
+
+def plan(frame) -> str:
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return frame._jdf.queryExecution().explainString(mode)
