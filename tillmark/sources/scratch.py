@@ -9,9 +9,16 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path below the shared folder of the cluster.
 
-    Only where that is unset, as in tests, a local temporary folder is used.
+    The folder is ``spark.checkpoint.dir``, else the checkpoint folder set on the context.
+    Where neither is set, a local master (as in tests) gets a local temporary folder; on a
+    cluster executors could not see one, so the call fails.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillmark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tillmark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
