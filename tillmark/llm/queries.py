@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tillmark.llm.packing import op9_best_fit_packing
 from tillmark.llm.token_counts import op3_token_counts
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
