@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
         coder = encoder(path)
         for batch in batches:
             rows: list[tuple] = []
-            coded = coder.encode(text.as_py() for text in batch.column(1))
+            coded = (bytes(data[a:b]) for data, bounds in coder.encode(batch.column(1)) for a, b in zip(bounds[:-1], bounds[1:]))
             for at, ids in enumerate(coded):
                 ids += end
                 total = len(ids) // 4

@@ -10,78 +10,124 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The characters of Unicode's White_Space property, as the pre-tokenizer's \s has them.
 WHITE = "\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
-#: Bytes of text that one call of the encoder gets, and of text held as pieces at once.
-BATCH_BYTES = 1 << 20
-#: Remembered pieces of a worker; beyond it the memory starts anew. Longer pieces are not kept.
-MEMORY, LONGEST = 400_000, 64
+# A Latin letter always ends a unit where one of these ASCII characters follows it.
+UNIT = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-/:-@\[-`{-~0-9])")
+# Texts that a plain split before each blank and line feed could cut inside white space.
+RUNS = "[" + WHITE.replace("\t-\r", r"\x09-\x0D") + "][ \n]|\x00"
+
+#: Characters of text that one call of the encoder gets, and bytes of text taken at once.
+CALL, GROUP = 1 << 14, 16 << 20
+#: Remembered pieces of a worker, in each of two generations. Longer pieces are not kept.
+MEMORY, LONGEST = 500_000, 64
 
 _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """One tokenizer of a Python worker, with the ids of pieces as little-endian 32-bit bytes."""
+    """One tokenizer of a Python worker, with the ids of pieces as little-endian 32-bit bytes.
+
+    Arrow splits texts and finds the distinct pieces of a group; only these are looked up.
+    New pieces are encoded many at a time: joined by a special token of the tokenizer,
+    which the library always makes a unit of its own, and cut at its id afterwards.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy
         from tokenizers import Tokenizer
 
-        self.array = numpy.array
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Encode new pieces, in calls of about equal bytes. Returns those too long to keep."""
-        long: dict[str, bytes] = {}
-        if len(self.ids) + len(pieces) > MEMORY:
-            self.ids.clear()
-        call: list[str] = []
+        added = self.tokenizer.get_added_tokens_decoder()
+        plain = [(token.content, at) for at, token in sorted(added.items()) if not (token.lstrip or token.rstrip or token.normalized or token.single_word)]
+        self.added = [token.content for token in added.values()]
+        self.mark, self.mark_id = plain[0] if plain else ("", -1)
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _alone(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        calls: list[list[str]] = [[]]
         held = 0
         for piece in pieces:
-            call.append(piece)
+            if not self.mark or any(token in piece for token in self.added):
+                found[piece] = self._alone(piece)
+                continue
+            calls[-1].append(piece)
             held += len(piece)
-            if held >= BATCH_BYTES // 4:
-                self._encode(call, long)
-                call, held = [], 0
-        self._encode(call, long)
-        return long
-
-    def _encode(self, call: list[str], long: dict[str, bytes]) -> None:
-        if call:
-            coded = self.tokenizer.encode_batch_fast(call, add_special_tokens=False)
-            for piece, code in zip(call, coded):
-                (self.ids if len(piece) <= LONGEST else long)[piece] = self.array(code.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of each text in turn; texts are taken in groups of about equal bytes."""
-        group: list[list[str]] = []
-        held = 0
-        for text in texts:
-            group.append(PIECE.findall(text or ""))
-            held += len(text or "")
-            if held >= BATCH_BYTES:
-                yield from self._join(group)
-                group, held = [], 0
-        yield from self._join(group)
-
-    def _join(self, group: list[list[str]]) -> Iterator[bytes]:
-        new = set().union(*group)
-        known = self.ids
-        new = {piece for piece in new if piece not in known}
-        if len(known) + len(new) > MEMORY:
-            new = set().union(*group)
-        long = self.learn(new)
-        if long:
-            known = {**long, **{piece: self.ids[piece] for pieces in group for piece in pieces if piece not in long}}
-        get = known.__getitem__
-        for pieces in group:
-            yield b"".join(map(get, pieces))
+            if held >= CALL:
+                calls.append([])
+                held = 0
+        joined = [self.mark.join(call) for call in calls if call]
+        for call, coded in zip((call for call in calls if call), self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(coded.ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark_id)
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(call, [*ends.tolist(), len(ids)]):
+                found[piece] = data[4 * start : 4 * end]
+                start = end + 1
+        return found
+
+    def _look_up(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of distinct pieces; units inside new pieces are remembered as well."""
+        if len(self.young) > MEMORY:
+            self.young, self.old = {"": b""}, self.young
+        young, old, long = self.young, self.old, {}
+
+        def new(found: list[str]) -> list[str]:
+            found = [piece for piece in found if piece not in young]
+            young.update([(piece, old[piece]) for piece in found if piece in old])
+            return [piece for piece in found if piece not in old]
+
+        def learn(piece: str, ids: bytes) -> None:
+            (young if len(piece) <= LONGEST else long)[piece] = ids
+
+        cut = {piece: [piece] if any(token in piece for token in self.added) else UNIT.split(piece) for piece in new(pieces)}
+        for unit, ids in self._encode(new(list({unit for units in cut.values() for unit in units}))).items():
+            learn(unit, ids)
+        for piece, units in cut.items():
+            if len(units) > 1:
+                learn(piece, b"".join([young[unit] if unit in young else long[unit] for unit in units]))
+        return {**young, **long} if long else young
+
+    def _pieces(self, texts: pa.Array) -> pa.ListArray:
+        """Each text's pieces."""
+        lists = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n"), "\0")
+        runs = pc.match_substring_regex(texts, RUNS)
+        if not pc.any(runs).as_py():
+            return lists
+        cut = [PIECE.findall(text.as_py()) if run else None for text, run in zip(texts, runs.to_pylist())]
+        return pc.if_else(runs, pa.array(cut, lists.type), lists)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[memoryview, np.ndarray]]:
+        """For groups of texts in turn: the ids of all, and where each text's bytes begin and the last end."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < len(texts):
+            start = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, start + GROUP, side="right")))
+            lists = self._pieces(texts.slice(low, high - low))
+            coded = lists.flatten().dictionary_encode()
+            known = self._look_up(distinct := coded.dictionary.to_pylist())
+            ids = pa.array([known[piece] for piece in distinct], pa.large_binary()).take(coded.indices)
+            counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+            _, offsets, data = ids.buffers()
+            offsets = np.frombuffer(offsets, dtype=np.int64) if len(ids) else np.zeros(1, np.int64)
+            yield memoryview(data) if data is not None else memoryview(b""), offsets[at + ids.offset]
+            low = high
 
 
 def encoder(path: str) -> Encoder:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tillmark.llm.fingerprints import op7_document_fingerprints
+from tillmark.llm.mixing import op6_source_mixing
 from tillmark.llm.packing import op9_best_fit_packing
 from tillmark.llm.token_counts import op3_token_counts
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
