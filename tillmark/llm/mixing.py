@@ -160,10 +160,14 @@ def mixing_blocks(
 
 def _fill(block: pd.DataFrame) -> pd.DataFrame:
     left, picked = int(block["need"].iloc[0]), []
-    for key, size in sorted(block.groupby("mix_key")["mix_size"].sum().items()):
+    sizes = block.groupby("mix_key")["mix_size"].sum()
+    for key, size in sorted(sizes.items()):
         if size <= left:
             left -= size
             picked.append(key)
+    over = min(((size, key) for key, size in sizes.drop(picked).items()), default=None)
+    if over and over[0] - left < left:
+        picked.append(over[1])
     return pd.DataFrame({"s": [block["s"].iloc[0]], "b": [block["b"].iloc[0]], "picked": [picked]})
 
 

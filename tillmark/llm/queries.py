@@ -6,8 +6,10 @@ from tillmark.llm.fingerprints import op7_document_fingerprints
 from tillmark.llm.mixing import op6_source_mixing
 from tillmark.llm.packing import op9_best_fit_packing
 from tillmark.llm.token_counts import op3_token_counts
+from tillmark.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op6_source_mixing": op6_source_mixing,
     "op7_document_fingerprints": op7_document_fingerprints,
