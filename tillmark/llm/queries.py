@@ -5,10 +5,12 @@ from __future__ import annotations
 from tillmark.llm.fingerprints import op7_document_fingerprints
 from tillmark.llm.mixing import op6_source_mixing
 from tillmark.llm.packing import op9_best_fit_packing
+from tillmark.llm.suffix_dedup import op1_suffix_array_dedup
 from tillmark.llm.token_counts import op3_token_counts
 from tillmark.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op6_source_mixing": op6_source_mixing,
