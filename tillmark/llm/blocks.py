@@ -51,7 +51,7 @@ class Block:
 
 
 def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents (doc_id, text) of a table as stored blocks. A null text is empty."""
+    """The documents (doc_id, text: string or binary) of a table as stored blocks. A null text is empty."""
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +79,7 @@ def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if ids:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
     name = f"blocks_{uuid.uuid4().hex}"
     path = scratch_path(spark, "blocks")
