@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillmark.llm.fingerprints import op7_document_fingerprints
 from tillmark.llm.jaccard_join import op4_ngram_jaccard_join
+from tillmark.llm.line_dedup import op8_line_dedup
 from tillmark.llm.mixing import op6_source_mixing
 from tillmark.llm.packing import op9_best_fit_packing
 from tillmark.llm.suffix_dedup import op1_suffix_array_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_source_mixing": op6_source_mixing,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
