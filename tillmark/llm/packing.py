@@ -159,16 +159,17 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         order = [F.col("size").desc(), F.col("kind"), F.col("key")]
         swept = stored(rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(_sweep, SWEPT), f"swept-{number}")
         counts = {(r.part, r.kind): r["count"] for r in swept.where(F.col("kind") != PLACED).groupBy("part", "kind").count().collect()}
+        # Two rows per task at most.
         pairs = spark.createDataFrame(_between_ranges(counts), "part int, first long, n long, gap_part int, gap_first long")
 
-        matched = swept.where(F.col("kind") == LEFT).join(pairs, "part").where(
+        matched = swept.where(F.col("kind") == LEFT).join(F.broadcast(pairs), "part").where(
             (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
         ).select("key", "size", "gap_part", (F.col("gap_first") + F.col("rank") - F.col("first")).alias("gap_rank"))
         free = swept.where(F.col("kind") == OPEN).select(F.col("part").alias("gap_part"), F.col("rank").alias("gap_rank"), "seq")
         took = matched.join(free, ["gap_part", "gap_rank"]).select("key", "size", "seq")
         # Ranks below a range's matched number are taken; the rest waits for the next round.
         reach = pairs.groupBy("part").agg(F.sum("n").alias("reach"))
-        still = swept.where(F.col("kind") == LEFT).join(reach, "part", "left").where(F.col("rank") >= F.coalesce("reach", F.lit(0)))
+        still = swept.where(F.col("kind") == LEFT).join(F.broadcast(reach), "part", "left").where(F.col("rank") >= F.coalesce("reach", F.lit(0)))
         put = swept.where(F.col("kind") == PLACED).select("key", "size", "seq").union(took)
         used = put.groupBy("seq").agg(F.sum("size").alias("used"))
         rest = gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).cast("int").alias("gap"))

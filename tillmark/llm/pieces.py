@@ -25,10 +25,10 @@ UNIT = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-/:-@\[-`{-~0-9])")
 # Texts that a plain split before each blank and line feed could cut inside white space.
 RUNS = "[" + WHITE.replace("\t-\r", r"\x09-\x0D") + "][ \n]|\x00"
 
-#: Characters of text that one call of the encoder gets, and bytes of text taken at once.
-CALL, GROUP = 1 << 14, 16 << 20
+#: Units that one call of the encoder gets, short and so of about equal bytes, and bytes of text taken at once.
+CALL, GROUP = 256, 12 << 20
 #: Remembered pieces of a worker, in each of two generations. Longer pieces are not kept.
-MEMORY, LONGEST = 500_000, 64
+MEMORY, LONGEST = 700_000, 64
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -56,27 +56,20 @@ class Encoder:
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
+    def _encode(self, units: list[str]) -> dict[str, bytes]:
         found: dict[str, bytes] = {}
-        calls: list[list[str]] = [[]]
-        held = 0
-        for piece in pieces:
-            if not self.mark or any(token in piece for token in self.added):
-                found[piece] = self._alone(piece)
+        if not self.mark:
+            return {unit: self._alone(unit) for unit in units}
+        calls = [units[low : low + CALL] for low in range(0, len(units), CALL)]
+        for call in calls:
+            joined = self.mark.join(call)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            if len(cuts) != len(call) - 1:  # a unit holds the token's own string
+                found.update((unit, self._alone(unit)) for unit in call)
                 continue
-            calls[-1].append(piece)
-            held += len(piece)
-            if held >= CALL:
-                calls.append([])
-                held = 0
-        joined = [self.mark.join(call) for call in calls if call]
-        for call, coded in zip((call for call in calls if call), self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(coded.ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            data, start = ids.tobytes(), 0
-            for piece, end in zip(call, [*ends.tolist(), len(ids)]):
-                found[piece] = data[4 * start : 4 * end]
-                start = end + 1
+            data = ids.tobytes()
+            found.update(zip(call, [data[a:b] for a, b in zip([0, *(cut + 4 for cut in cuts)], [*cuts, len(data)])]))
         return found
 
     def _look_up(self, pieces: list[str]) -> dict[str, bytes]:
