@@ -29,16 +29,17 @@ BLOCK_BYTES = 2 << 20
 #: Blocks whose keys make up one bucket, on average.
 BLOCKS_PER_BUCKET = 8
 
-BLOCK = "block long, n long, ids binary, known binary, sizes binary, text binary"
+BLOCK = "block long, n long, ids binary, known binary, rows binary, sizes binary, text binary"
 
 
 class Block:
-    """The documents of a block: ``ids`` (int64), ``known`` (false for a null id), ``starts`` and the bytes."""
+    """The documents of a block: ``ids`` (int64), ``known`` (false for a null id), ``rows``, ``starts`` and the bytes."""
 
     def __init__(self, row: dict):
         self.number = row["block"]
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
         self.known = np.frombuffer(row["known"], dtype=np.bool_)
+        self.rows = np.frombuffer(row["rows"], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], dtype=np.int64))]).astype(np.int64)
         self.data = row["text"]
 
@@ -51,12 +52,16 @@ class Block:
 
 
 def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents (doc_id, text: string or binary) of a table as stored blocks. A null text is empty."""
+    """The documents (doc_id, text: string or binary) of a table as stored blocks. A null text is empty.
+
+    A column ``row`` (long), where there is one, comes along; it tells rows of one id apart.
+    """
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
+        rows: list[int] = []
         texts: list[bytes] = []
         held = 0
 
@@ -64,26 +69,29 @@ def store_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             row = {
                 "block": (part << 32) + serial, "n": len(ids), "ids": np.array([i or 0 for i in ids], np.int64).tobytes(),
                 "known": np.array([i is not None for i in ids], np.bool_).tobytes(),
+                "rows": np.array(rows, np.int64).tobytes(),
                 "sizes": np.array([len(t) for t in texts], np.int64).tobytes(), "text": b"".join(texts),
             }
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([("block", pa.int64()), ("n", pa.int64()), *((c, pa.binary()) for c in ("ids", "known", "sizes", "text"))]))
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema([("block", pa.int64()), ("n", pa.int64()), *((c, pa.binary()) for c in ("ids", "known", "rows", "sizes", "text"))]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            for doc_id, text, row in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
                 ids.append(doc_id)
+                rows.append(row)
                 texts.append(text or b"")
                 held += len(texts[-1])
                 if held >= block_bytes:
                     yield flush()
-                    ids, texts, held, serial = [], [], 0, serial + 1
+                    ids, rows, texts, held, serial = [], [], [], 0, serial + 1
         if ids:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    row = F.col("row") if dict(docs.dtypes).get("row") == "bigint" else F.lit(0).cast("long")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(row, F.lit(0)).alias("row"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     name = f"blocks_{uuid.uuid4().hex}"
     path = scratch_path(spark, "blocks")
-    writer = rows.mapInArrow(gather, BLOCK).write.format("parquet").option("compression", "zstd").option("path", path)
+    writer = docs.mapInArrow(gather, BLOCK).write.format("parquet").option("compression", "zstd").option("path", path)
     writer.bucketBy(buckets, "block").saveAsTable(name)
     return spark.table(name)
 

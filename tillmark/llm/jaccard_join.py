@@ -64,7 +64,8 @@ def links(left: list[tuple], right: list[tuple] | None) -> Iterator[tuple[int, i
 
 
 def near_documents(docs: DataFrame) -> DataFrame:
-    """Each document's doc_id, n_shingles and component_id, with block and place of its row.
+    """Each document's doc_id, n_shingles and component_id, with its component (null where it
+    has no possible partner) and, if ``docs`` has a long column ``row``, that.
 
     A null text and one without words have no shingle and no link. Repeated rows are rows
     of their own with one result. Null ids are never the smallest id of a component, and a
@@ -79,12 +80,21 @@ def near_documents(docs: DataFrame) -> DataFrame:
     found = set_join.compared(nodes, links, "a long, b long")
     joined = nodes.select("node", "first").join(set_join.components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    per_node = stored(joined.select("node", "component").join(names, "component").select(F.col("node").alias("of"), "component_id"), "components")
-    rows = items.select("doc_id", "block", "place", "n", "node")
-    alone = rows.where("node IS NULL").withColumn("component_id", F.col("doc_id"))
+    per_node = stored(joined.select("node", "component").join(names, "component").select(F.col("node").alias("of"), "component", "component_id"), "components")
+    rows = items.select("doc_id", "row", "n", "node")
+    alone = rows.where("node IS NULL").withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
     with_node = rows.where("node IS NOT NULL").join(per_node, F.col("node") == F.col("of"), "left").drop("of")
     result = alone.unionByName(with_node)
-    return result.select("doc_id", "block", "place", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return result.select("doc_id", "row", F.col("n").cast("long").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` without near copies: of each component the row with the smallest id stays, null ids last."""
+    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = stored(near_documents(marked.select("doc_id", "text", F.col("_row").alias("row"))), "groups").where("component IS NOT NULL")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    copies = found.join(first, "component").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("_row"))
+    return marked.join(copies, "_row", "left_anti").select(docs.columns)
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,6 +106,8 @@ def ordinals(nodes: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """Each document's doc_id, n_lines, the numbers of its ``removed`` lines, and its ``text`` without them.
 
+    A long column ``row`` of ``docs``, where there is one, comes along.
+
     One row comes out per row; a document that loses all lines keeps an empty text. An
     empty table gives none. Other columns are not read.
     """
@@ -114,13 +116,25 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     def rows(block: Block) -> Iterator[dict]:
         for place, text in enumerate(block.texts()):
-            yield {"doc_id": int(block.ids[place]) if block.known[place] else None, "block": block.number, "place": place, "text": text.decode()}
+            yield {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "text": text.decode()}
 
-    texts = over_blocks(blocks, rows, "doc_id long, block long, place int, text string")
+    texts = over_blocks(blocks, rows, "doc_id long, row long, block long, place int, text string")
     joined = texts.join(per_doc, ["block", "place"], "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
     split = F.split("text", "\n", -1)
     kept = F.filter(split, lambda _, i: ~F.array_contains("removed", i))
-    return joined.select("doc_id", F.size(split).alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    return joined.select("doc_id", "row", F.size(split).alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+
+
+def with_lines_removed(docs: DataFrame) -> DataFrame:
+    """``docs`` with texts that have lost their repeated lines; rows that lose all of their text go."""
+    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = without_repeated_lines(marked.select("doc_id", "text", F.col("_row").alias("row"))).where(F.size("removed") > 0)
+    cut = found.select(F.col("row").alias("_row"), F.col("text").alias("_rest"))
+    joined = marked.join(cut, "_row", "left").where(F.col("_rest").isNull() | (F.trim("_rest") != ""))
+    changed = {"text": F.coalesce("_rest", "text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(F.char_length("_rest"))
+    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

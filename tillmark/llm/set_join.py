@@ -88,7 +88,7 @@ def least(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.
 
 
 def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tuple[int, int, np.ndarray]]]) -> DataFrame:
-    """One row per item: doc (its place in the block), doc_id, line, n, and node and tokens if it may have a partner.
+    """One row per item: doc_id, row, block, place, line, n, and node and tokens if it may have a partner.
 
     ``items`` gives (place, line, sorted distinct tokens) of a block. Equal sets have equal nodes.
     """
@@ -110,7 +110,7 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
         repeated = keys[np.frombuffer(got, np.uint8) > 0]
         for place, line, tokens in items(block):
             n = len(tokens)
-            row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "block": block.number, "place": place, "line": line, "n": n, "node": None, "tokens": None}
+            row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None, "tokens": None}
             front = tokens[: n - least_overlap(n) + slack(n)]
             if n and len(repeated):
                 at = np.minimum(np.searchsorted(repeated, front), len(repeated) - 1)
@@ -119,7 +119,7 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
                     row["tokens"] = tokens.tobytes()
             yield row
 
-    return stored(over_blocks(blocks, choose, "doc_id long, block long, place int, line int, n int, node long, tokens binary", replies), "items")
+    return stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long, tokens binary", replies), "items")
 
 
 def components(edges: DataFrame) -> DataFrame:
