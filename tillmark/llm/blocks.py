@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from tillmark.sources.scratch import scratch_path
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Blocks whose keys make up one bucket, on average.
 BLOCKS_PER_BUCKET = 8
 

@@ -96,7 +96,8 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
 
     def fronts(block: Block) -> tuple[np.ndarray, np.ndarray]:
         sent = [tokens[: len(tokens) - least_overlap(len(tokens)) + slack(len(tokens))] for _, _, tokens in items(block)]
-        return np.unique(np.concatenate([*sent, np.zeros(0, U64)]).astype(U64), return_counts=True)
+        # The front of a sorted set lies near zero; hashed once more its tokens fill all buckets alike.
+        return np.unique(mix64(np.concatenate([*sent, np.zeros(0, U64)]).astype(U64)), return_counts=True)
 
     def ask(block: Block) -> Iterator[dict]:
         keys, counts = fronts(block)
@@ -111,7 +112,7 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
         for place, line, tokens in items(block):
             n = len(tokens)
             row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None, "tokens": None}
-            front = tokens[: n - least_overlap(n) + slack(n)]
+            front = mix64(tokens[: n - least_overlap(n) + slack(n)])
             if n and len(repeated):
                 at = np.minimum(np.searchsorted(repeated, front), len(repeated) - 1)
                 if int((repeated[at] == front).sum()) >= slack(n):
@@ -157,7 +158,7 @@ def compared(nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | Non
     def fronts(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sets = [np.frombuffer(text, U64) for text in block.texts()]
         sent = [tokens[: len(tokens) - least_overlap(len(tokens)) + 1] for tokens in sets]
-        return np.concatenate([*sent, np.zeros(0, U64)]).astype(U64), np.repeat(block.ids, [len(s) for s in sent])
+        return mix64(np.concatenate([*sent, np.zeros(0, U64)]).astype(U64)), np.repeat(block.ids, [len(s) for s in sent])
 
     def ask(block: Block) -> Iterator[dict]:
         tokens, owners = fronts(block)

@@ -61,7 +61,10 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def smallest_grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The gram hash at each position, and the smallest inside each window."""
+    """The gram hash at each position, and a hash of the smallest inside each window.
+
+    Smallest values crowd near zero; hashed once more they fill all buckets alike.
+    """
     n = len(data) - LENGTH + 1
     if n <= 0:
         return np.zeros(0, U64), np.zeros(0, U64)
@@ -76,7 +79,7 @@ def smallest_grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             size *= 2
         rest = width - size
         m = np.minimum(m[: len(m) - rest], m[rest:]) if rest else m
-        grams[low:high], smallest[low:high] = h[: high - low], m[: high - low]
+        grams[low:high], smallest[low:high] = h[: high - low], mix64(m[: high - low])
     return grams, smallest
 
 
