@@ -149,8 +149,7 @@ def answered(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, list[np.
         rows = [got[low:high].tobytes() for low, high in zip(ends[:-1], ends[1:])]
         return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "answers": pa.array(rows, pa.binary())})
 
-    replies = sent.where(F.col("bucket") != NOTE).groupBy("bucket").applyInArrow(reply, REPLY)
-    return stored(replies, "replies").unionByName(sent.where(F.col("bucket") == NOTE).withColumnRenamed("sent", "answers"))
+    return stored(sent.groupBy("bucket").applyInArrow(reply, REPLY), "replies")
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:

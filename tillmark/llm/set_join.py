@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.blocks import MESSAGE, Block, answered, messages, mix64, n_buckets, note, over_blocks, packed, store_blocks, stored, unpacked
+from tillmark.llm.blocks import MESSAGE, Block, answered, messages, mix64, n_buckets, over_blocks, store_blocks, stored
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT, WORDS = 80, 5
@@ -101,14 +101,12 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
 
     def ask(block: Block) -> Iterator[dict]:
         keys, counts = fronts(block)
-        yield note(block, packed([keys]))
         yield from messages(block, buckets, keys, [np.minimum(counts, 2).astype(np.uint8)])
 
-    replies = answered(stored(over_blocks(blocks, ask, MESSAGE), "fronts"), several)
+    replies = answered(over_blocks(blocks, ask, MESSAGE), several)
 
-    def choose(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
-        (keys,) = unpacked(state)
-        repeated = keys[np.frombuffer(got, np.uint8) > 0]
+    def choose(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
+        repeated = fronts(block)[0][np.frombuffer(got, np.uint8) > 0]
         for place, line, tokens in items(block):
             n = len(tokens)
             row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None, "tokens": None}
@@ -166,7 +164,7 @@ def compared(nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | Non
         first = np.flatnonzero(np.append(True, np.diff(tokens[order]) != 0)) if len(tokens) else order
         yield from messages(block, buckets, tokens[order][first], [owners[order][first]])
 
-    replies = answered(stored(over_blocks(blocks, ask, MESSAGE), "tokens"), least)
+    replies = answered(over_blocks(blocks, ask, MESSAGE), least)
 
     def lead(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
         tokens, owners = fronts(block)

@@ -270,27 +270,34 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         a, b, least, _ = cut_keys(Windows(block))
         yield from messages(block, buckets, a, [b, least])
 
-    cuts = answered(stored(over_blocks(blocks, ask_cuts, MESSAGE), "cuts"), least_id)
+    cuts = answered(over_blocks(blocks, ask_cuts, MESSAGE), least_id)
 
-    def ask_grams(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
-        w = Windows(block)
+    def done_cuts(w: Windows, got: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+        """The windows of cuts that a smaller id has as well, and the bytes of their answers."""
         low, high, _ = w.cuts()
-        least = np.frombuffer(got, np.int64)[cut_keys(w)[3]]
+        place = cut_keys(w)[3]
+        size = 8 * (int(place.max()) + 1 if len(place) else 0)
         ids = w.ids[w.doc_of(low)]
-        done = (least < ids) & (ids != NONE)
-        grams, several = gram_keys(w, settled_windows(len(w.valid), low[done], high[done]))
-        yield note(block, packed([low[done], high[done]]))
+        done = (np.frombuffer(got[:size], np.int64)[place] < ids) & (ids != NONE)
+        return low[done], high[done], size
+
+    def ask_grams(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
+        w = Windows(block)
+        low, high, _ = done_cuts(w, got)
+        grams, several = gram_keys(w, settled_windows(len(w.valid), low, high))
         yield from messages(block, buckets, grams, [several])
 
-    grams = answered(stored(over_blocks(blocks, ask_grams, MESSAGE, cuts), "grams"), repeated)
+    grams = answered(over_blocks(blocks, ask_grams, MESSAGE, cuts), repeated)
+    # Answers for cuts stand before those for grams.
+    both = cuts.unionByName(grams.withColumn("bucket", F.col("bucket") + buckets))
 
-    def ask_windows(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
+    def ask_windows(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
         w = Windows(block)
-        low, high = unpacked(state)
+        low, high, size = done_cuts(w, got)
         settled = settled_windows(len(w.valid), low, high)
         keys, _ = gram_keys(w, settled)
         left = np.flatnonzero(w.valid & ~settled)
-        known = np.frombuffer(got, np.uint8)
+        known = np.frombuffer(got[size:], np.uint8)
         left = left[known[np.searchsorted(keys, w.smallest[left])] > 0] if len(left) else left
         grams = w.smallest[left]
         first = np.flatnonzero(np.append(True, (np.diff(grams) != 0) | (np.diff(left) != 1))) if len(left) else left
@@ -321,7 +328,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         state = [packed([low, high]), packed([begin, n, rank[place] if place else np.zeros(0, np.int64)]), packed([lens, least[order]])]
         yield note(block, b"".join(len(part).to_bytes(8, "little") + part for part in state))
 
-    asked = stored(over_blocks(blocks, ask_windows, MESSAGE, grams), "windows")
+    asked = stored(over_blocks(blocks, ask_windows, MESSAGE, both), "windows")
     replies = asked.where(F.col("bucket") != NOTE).groupBy("bucket").applyInArrow(suffix_reply, REPLY)
     replies = stored(replies, "suffixes").unionByName(asked.where(F.col("bucket") == NOTE).withColumnRenamed("sent", "answers"))
 
