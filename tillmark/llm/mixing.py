@@ -100,7 +100,7 @@ def mixing_blocks(
     sources = spark.createDataFrame(plan, "source string, n_blocks long, source_size long, target double, whole int, rest long")
 
     dealt = with_block(rows, sources, seed)
-    blocks = dealt.groupBy("source", "block").agg(F.sum("mix_size").alias("words"))
+    blocks = dealt.groupBy("source", F.col("_block").alias("block")).agg(F.sum("mix_size").alias("words"))
     per = sources.select(F.col("source").alias("s"), "n_blocks", "whole", "rest")
     blocks = blocks.join(F.broadcast(per), blocks.source.eqNullSafe(per.s)).drop("s")
     blocks = blocks.withColumn("place", F.xxhash64("source", "block", F.lit(seed + 1)))
@@ -149,7 +149,7 @@ def mixing_blocks(
     )
     # Of a block drawn in part, its documents are taken in key order as far as they fit; a block is bounded.
     part = blocks.where((F.col("need") > 0) & (F.col("need") < F.col("words"))).select(F.col("source").alias("s"), F.col("block").alias("b"), "need")
-    inside = dealt.where("mix_size > 0").join(F.broadcast(part), dealt.source.eqNullSafe(part.s) & (dealt.block == part.b))
+    inside = dealt.where("mix_size > 0").join(F.broadcast(part), dealt.source.eqNullSafe(part.s) & (dealt._block == part.b))
     inside = inside.select("s", "b", "need", "mix_key", "mix_size")
     picks = inside.groupBy("s", "b").applyInPandas(_fill, "s string, b long, picked array<long>")
     blocks = blocks.join(picks, blocks.source.eqNullSafe(picks.s) & (blocks.block == picks.b), "left").select(
@@ -175,18 +175,18 @@ def with_block(rows: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """Rows with the block of their source they belong to; one row per source is joined."""
     by = sources.select(F.col("source").alias("s"), F.col("n_blocks").alias("of"))
     joined = rows.join(F.broadcast(by), rows.source.eqNullSafe(by.s))
-    return joined.withColumn("block", F.pmod(F.xxhash64("mix_key", F.lit(seed + 2)), F.col("of"))).drop("s", "of")
+    return joined.withColumn("_block", F.pmod(F.xxhash64("mix_key", F.lit(seed + 2)), by.of)).drop(by.s, by.of)
 
 
 def with_copies(rows: DataFrame, sources: DataFrame, blocks: DataFrame, seed: int = SEED) -> DataFrame:
     """``rows`` (source, mix_size, mix_key and more) with ``mix_shards``, one shard per copy taken."""
     dealt = with_block(rows, sources, seed)
     by = blocks.select(*(F.col(c).alias(f"mix_{c}") for c in blocks.columns))
-    joined = dealt.join(by, dealt.source.eqNullSafe(by.mix_source) & (dealt.block == by.mix_block), "left")
+    joined = dealt.join(by, dealt.source.eqNullSafe(by.mix_source) & (dealt._block == by.mix_block), "left")
     chosen = F.col("mix_in_full") | F.coalesce(F.array_contains("mix_picked", F.col("mix_key")), F.lit(False))
     once_more = F.col("mix_last_shard").isNotNull() & chosen
     copies = F.when(once_more, F.concat("mix_shards", F.array("mix_last_shard"))).otherwise(F.col("mix_shards"))
-    return joined.withColumn("mix_shards", copies).drop(*(c for c in by.columns if c != "mix_shards"), "block")
+    return joined.withColumn("mix_shards", copies).drop(*(c for c in by.columns if c != "mix_shards"), "_block")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
