@@ -1,13 +1,10 @@
 """Sales measures over any grouping.
 
-The measures mix sums with distinct counts of invoices and customers. The two kinds
-are planned apart, each reading only its own columns:
-
-* sums combine on the map side down to one row per group, so they shuffle nothing
-  that grows with the data;
-* distinct counts turn each line into an invoice entry and, for a completed sale to
-  a known customer, a customer entry that carry flags and no amounts. Grouped by
-  entry, every distinct count becomes a plain count of flags.
+The measures mix sums with distinct counts of invoices and customers. Both come from one
+scan: lines shrink to a row per invoice and customer that carries the sums and two flags.
+It then becomes an invoice entry, which keeps the sums, and, for a completed sale to a
+known customer, a customer entry. Grouped by entry, every distinct count becomes a plain
+count of flags.
 
 A stock plan with four ``count(distinct)`` would copy every line five times, amounts
 included. Every step here combines on the map side, so an invoice, customer or country
@@ -80,12 +77,12 @@ _ENTRIES = """
     SELECT *,
       coalesce(InvoiceNo <> nullif(trim(InvoiceNo), ''), false) AS respelled,
       completed AND coalesce(trim(CustomerID) <> '', false) AS buyer,
-      struct(false AS is_customer, InvoiceNo AS member, completed AND InvoiceNo IS NOT NULL AS ordered,
+      struct(false AS is_customer, false AS is_other, InvoiceNo AS member, completed AND InvoiceNo IS NOT NULL AS ordered,
              cancelled AND InvoiceNo IS NOT NULL AS cancelled,
              coalesce(InvoiceNo = nullif(trim(InvoiceNo), ''), false) AS listed) AS named,
-      struct(false AS is_customer, trim(InvoiceNo) AS member, false AS ordered, false AS cancelled,
+      struct(false AS is_customer, true AS is_other, trim(InvoiceNo) AS member, false AS ordered, false AS cancelled,
              true AS listed) AS other,
-      struct(true AS is_customer, CustomerID AS member, false AS ordered, false AS cancelled,
+      struct(true AS is_customer, false AS is_other, CustomerID AS member, false AS ordered, false AS cancelled,
              false AS listed) AS known
     FROM {source})"""
 
@@ -95,23 +92,32 @@ _COUNTS = """
   count_if(ordered) AS order_count, count_if(is_customer) AS active_customers,
   count_if(cancelled) AS cancelled_invoice_count, count_if(listed) AS all_invoice_count"""
 
-# Sums and counts side by side, and the ratios. A union and not a join, so NULL keys meet too.
+# Lines shrink to one row per invoice and customer, which carries both the sums and the flags.
+_INVOICES = f"""
+  SELECT {{keys}}InvoiceNo, CustomerID, max(completed) AS completed, max(cancelled) AS cancelled, {_SUMS}
+  FROM lines {{group}}"""
+
+_AMOUNTS = ("gross_sales", "cancelled_sales", "net_sales", "units_sold")
+# The entry of the number as written keeps the sums, so each amount is added once.
+_CARRIED = ", ".join(f"CASE WHEN is_customer OR is_other THEN NULL ELSE {name} END AS {name}" for name in _AMOUNTS)
+_ADDED = ", ".join(f"sum({name}) AS {name}" for name in _AMOUNTS)
+
 _COMBINED = """
   SELECT *, try_divide(CAST(gross_sales AS DOUBLE), CAST(order_count AS DOUBLE)) AS average_order_value,
     try_divide(CAST(cancelled_invoice_count AS DOUBLE), CAST(all_invoice_count AS DOUBLE)) AS cancellation_rate
   FROM (
-    SELECT {keys} coalesce(max(gross_sales), 0) AS gross_sales, coalesce(max(cancelled_sales), 0) AS cancelled_sales,
-      coalesce(max(net_sales), 0) AS net_sales, coalesce(max(order_count), 0) AS order_count,
-      coalesce(max(units_sold), 0) AS units_sold, coalesce(max(active_customers), 0) AS active_customers,
-      coalesce(max(cancelled_invoice_count), 0) AS cancelled_invoice_count,
-      coalesce(max(all_invoice_count), 0) AS all_invoice_count
-    FROM (
-      SELECT {keys} gross_sales, cancelled_sales, net_sales, units_sold, NULL AS order_count, NULL AS active_customers,
-        NULL AS cancelled_invoice_count, NULL AS all_invoice_count FROM sums
-      UNION ALL
-      SELECT {keys} NULL, NULL, NULL, NULL, order_count, active_customers, cancelled_invoice_count, all_invoice_count
-      FROM counts)
-    {group})"""
+    SELECT {keys} CAST(coalesce(sum(gross_sales), 0) AS {amount}) AS gross_sales,
+      CAST(coalesce(sum(cancelled_sales), 0) AS {amount}) AS cancelled_sales,
+      CAST(coalesce(sum(net_sales), 0) AS {amount}) AS net_sales, count_if(ordered) AS order_count,
+      coalesce(sum(units_sold), 0) AS units_sold, count_if(is_customer) AS active_customers,
+      count_if(cancelled) AS cancelled_invoice_count, count_if(listed) AS all_invoice_count
+    FROM members {group})"""
+
+
+def _amount_type(fact: DataFrame) -> str:
+    """The type of a plain sum of the line amounts, whatever the number of partial sums."""
+    amount = fact.schema["LineAmount"].dataType
+    return f"decimal({min(38, amount.precision + 10)},{amount.scale})" if hasattr(amount, "precision") else "double"
 
 
 def _key_lists(keys: Sequence[str]) -> tuple[str, str]:
@@ -138,12 +144,19 @@ def with_ratios(measures: DataFrame) -> DataFrame:
 
 
 def measures_by(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Eight base measures and two ratios per group; without keys, one row, also for no input."""
+    """Eight base measures and two ratios per group, from one scan; without keys, one row, also for no input."""
     prefix, group = _key_lists(keys)
-    combined = _COMBINED.replace("{keys}", prefix).replace("{group}", group)
+    _, by_invoice = _key_lists([*keys, "InvoiceNo", "CustomerID"])
+    _, by_member = _key_lists([*keys, "is_customer", "member"])
+    amounts = ", ".join(_AMOUNTS)
+    combined = _COMBINED.replace("{keys}", prefix).replace("{group}", group).replace("{amount}", _amount_type(fact))
     return fact.sparkSession.sql(
-        f"WITH lines AS ({_LINES}), sums AS (SELECT {prefix}{_SUMS} FROM lines {group}), "
-        f"{_counts_sql(keys)} {combined}", fact=fact,
+        f"WITH lines AS ({_LINES}), "
+        f"invoices AS ({_INVOICES.replace('{keys}', prefix).replace('{group}', by_invoice)}), "
+        f"entries AS (SELECT {prefix}{amounts}, {_ENTRIES.replace('{source}', 'invoices')}), "
+        f"carried AS (SELECT {prefix}is_customer, member, ordered, cancelled, listed, {_CARRIED} FROM entries), "
+        f"members AS (SELECT {prefix}is_customer, member, {_FLAGS}, {_ADDED} FROM carried {by_member}) {combined}",
+        fact=fact,
     )
 
 
@@ -172,10 +185,13 @@ def distinct_measure(fact: DataFrame, name: str, keys: Sequence[str] = ()) -> Da
 
 
 def average_order_value(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Gross sales per completed invoice, from a per-invoice subtotal."""
-    orders = completed_lines(fact).groupBy(*keys, "InvoiceNo").agg(F.sum("LineAmount").alias("amount"))
+    """Gross sales per completed invoice, from a per-invoice subtotal; NULL for a group without orders."""
+    completed = F.coalesce(is_completed(), F.lit(False))
+    orders = fact.groupBy(*keys, "InvoiceNo").agg(
+        F.sum(F.when(completed, F.col("LineAmount"))).alias("amount"), F.max(completed).alias("ordered")
+    )
     return orders.groupBy(*keys).agg(
-        ratio(F.coalesce(F.sum("amount"), F.lit(0)), F.count("InvoiceNo")).alias("average_order_value")
+        ratio(F.coalesce(F.sum("amount"), F.lit(0)), F.count(F.when(F.col("ordered"), F.col("InvoiceNo")))).alias("average_order_value")
     )
 
 
@@ -202,9 +218,10 @@ def auxiliary_measures(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def measures_all_slices(fact: DataFrame) -> DataFrame:
-    """The measures overall, per country and per month in one pass over the fact.
+    """The measures overall, per country and per month from one scan of the fact.
 
     ``slice_id`` is ``all``, ``country`` or ``month``; the change measures exist for months.
+    Lines would enter three groupings each, so they shrink to invoices first.
     """
     from tillmark.operators.periods import with_changes
 
@@ -212,23 +229,18 @@ def measures_all_slices(fact: DataFrame) -> DataFrame:
     slice_id = ("CASE WHEN grouping(Country) = 0 THEN 'country' WHEN grouping(Month) = 0 THEN 'month' ELSE 'all' END "
                 "AS slice_id")
     combined = _COMBINED.replace("{keys}", "slice_id, Country, Month, ").replace(
-        "{group}", "GROUP BY slice_id, Country, Month")
+        "{group}", "GROUP BY slice_id, Country, Month").replace("{amount}", _amount_type(fact))
+    invoices = _INVOICES.replace("{keys}", "Country, Month, ").replace("{group}", "GROUP BY Country, Month, InvoiceNo, CustomerID")
     measures = fact.sparkSession.sql(f"""
         WITH lines AS ({_LINES.replace("SELECT *", "SELECT *, trunc(CAST(InvoiceDate AS DATE), 'MM') AS Month")}),
-        cells AS (SELECT Country, Month, {_SUMS} FROM lines GROUP BY Country, Month),
-        sums AS (
-          SELECT {slice_id}, Country, Month, sum(gross_sales) AS gross_sales, sum(cancelled_sales) AS cancelled_sales,
-            sum(net_sales) AS net_sales, sum(units_sold) AS units_sold
-          FROM cells GROUP BY GROUPING SETS ((), (Country), (Month))),
-        -- Every line would enter three groupings, so lines shrink to invoices first.
-        invoices AS (
-          SELECT Country, Month, InvoiceNo, CustomerID, max(completed) AS completed, max(cancelled) AS cancelled
-          FROM lines GROUP BY Country, Month, InvoiceNo, CustomerID),
-        entries AS (SELECT Country, Month, {_ENTRIES.replace("{source}", "invoices")}),
+        invoices AS ({invoices}),
+        entries AS (SELECT Country, Month, {", ".join(_AMOUNTS)}, {_ENTRIES.replace("{source}", "invoices")}),
+        carried AS (SELECT Country, Month, is_customer, member, ordered, cancelled, listed, {_CARRIED} FROM entries),
         members AS (
-          SELECT {slice_id}, Country, Month, is_customer, member, {_FLAGS} FROM entries
-          GROUP BY GROUPING SETS ((is_customer, member), (Country, is_customer, member), (Month, is_customer, member))),
-        counts AS (SELECT slice_id, Country, Month, {_COUNTS} FROM members GROUP BY slice_id, Country, Month)
+          SELECT {slice_id}, Country, Month, is_customer, member, {_FLAGS}, {_ADDED} FROM carried
+          GROUP BY GROUPING SETS ((is_customer, member), (Country, is_customer, member), (Month, is_customer, member))
+          UNION ALL  -- the overall slice exists without any line
+          SELECT 'all', NULL, NULL, false, NULL, false, false, false, NULL, NULL, NULL, NULL)
         {combined}""", fact=fact)
     value = F.when(F.col("slice_id") == "country", F.col("Country")).otherwise(year_month(F.col("Month")))
     return with_changes(measures.withColumn("slice_value", value), "Month", "net_sales", ["slice_id"]).select(

@@ -271,8 +271,9 @@ def _labelled(findings: DataFrame) -> DataFrame:
 def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[str] | None = None) -> DataFrame:
     """Second and later occurrences of the primary key and of unique values.
 
-    All key kinds share one grouping. It keeps the first row of keys that occur more than
-    once; those few keys then find their later rows by a join that Spark can split.
+    All key kinds share one grouping. Equal rows are counted, so of rows with an equal
+    locator all but one of the first are found too. The first row of keys that occur more
+    than once then meets the counted rows, of which a locator has one.
     """
     columns = {column["name"]: column for column in contract["columns"]}
     key_parts = contract["dataset"]["primary_key"]
@@ -300,11 +301,15 @@ def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
         for code, scope, usable, key in kinds
     ]))).filter(F.col("key").isNotNull())
     by_key = ["code", "scope", "key"]
-    repeated = keyed.groupBy(*by_key).agg(F.min("row").alias("first_row"), F.count("*").alias("copies")).filter(
-        "copies > 1"
-    )
-    later = keyed.join(repeated, by_key).filter(F.col("row") > F.col("first_row"))
-    return _labelled(later.select("code", "scope", "row"))
+    counted = keyed.groupBy(*by_key, "row").agg(F.count("*").alias("copies"))
+    repeated = counted.groupBy(*by_key).agg(F.min("row").alias("first_row"), F.sum("copies").alias("total")).filter(
+        "total > 1"
+    ).select(*by_key, "first_row")
+    met = counted.join(repeated, by_key)
+    extra = F.col("copies") - F.when(F.col("row") == F.col("first_row"), 1).otherwise(0)
+    later = met.withColumn("n", extra.cast("int")).filter("n > 0")
+    found = later.select("code", "scope", "row", F.explode(F.array_repeat(F.lit(1), F.col("n"))))
+    return _labelled(found.select("code", "scope", "row"))
 
 
 def table_issues(table: DataFrame, contract: Mapping, row: str) -> DataFrame:

@@ -87,10 +87,27 @@ def reconciliation_status(results: DataFrame) -> DataFrame:
 def reconciliation_gate(
     results: DataFrame, expected_ids: Sequence[str], keys: Sequence[str] = ("slice_id", "slice_value"),
 ) -> DataFrame:
-    """Expected metrics that are missing or failed, per slice; no row means the gate is open."""
+    """What keeps the gate closed; no row means it is open.
+
+    ``baseline_metric_failed`` names an expected metric that a slice lacks or fails, and
+    ``baseline_slice_failed`` a slice with any failed metric, expected or not.
+    ``baseline_slices_missing`` says that nothing was compared, and
+    ``baseline_reconciliation_failed`` that the whole did not pass; both name no slice.
+    """
     wanted = F.array(*[F.lit(name) for name in expected_ids])
     per_slice = results.groupBy(*keys).agg(
-        F.collect_set(F.when(_accepted() & F.col("metric_id").isin(*expected_ids), F.col("metric_id"))).alias("good")
+        F.collect_set(F.when(_accepted() & F.col("metric_id").isin(*expected_ids), F.col("metric_id"))).alias("good"),
+        F.bool_and(_accepted()).alias("passed"),
+    )
+    missing = per_slice.select(*keys, F.explode(F.array_except(wanted, F.col("good"))).alias("metric_id")).withColumn(
+        "code", F.lit("baseline_metric_failed")
+    )
+    nothing = F.lit(None).cast("string").alias("metric_id")
+    failed = per_slice.where(~F.col("passed")).select(*keys, nothing, F.lit("baseline_slice_failed").alias("code"))
+    codes = F.when(F.col("n") == 0, F.array(F.lit("baseline_reconciliation_failed"), F.lit("baseline_slices_missing"))).when(
+        ~F.col("passed"), F.array(F.lit("baseline_reconciliation_failed"))
+    ).otherwise(F.array().cast("array<string>"))
+    whole = per_slice.agg(F.count("*").alias("n"), F.bool_and("passed").alias("passed")).select(
+        *[F.lit(None).cast(results.schema[key].dataType).alias(key) for key in keys], nothing, F.explode(codes).alias("code")
     )
-    missing = per_slice.select(*keys, F.explode(F.array_except(wanted, F.col("good"))).alias("metric_id"))
-    return missing.withColumn("code", F.lit("baseline_metric_failed"))
+    return missing.unionByName(failed).unionByName(whole)

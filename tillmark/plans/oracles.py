@@ -418,8 +418,8 @@ ORACLES: dict[str, str] = {
     "metric_active_customers": f"{S} SELECT count(DISTINCT CustomerID) AS active_customers FROM sales WHERE sold AND trim(CustomerID) <> ''",
     "metric_cancelled_invoices": f"{S} SELECT count(DISTINCT InvoiceNo) AS cancelled_invoice_count FROM sales WHERE IsCancellation",
     "metric_all_invoices": f"{S} SELECT count(DISTINCT nullif(trim(InvoiceNo), '')) AS all_invoice_count FROM sales",
-    "metric_average_order_value": f"{S} SELECT Country, sum(LineAmount)::DOUBLE / count(DISTINCT InvoiceNo)::DOUBLE AS average_order_value "
-        "FROM sales WHERE sold GROUP BY 1",
+    "metric_average_order_value": f"{S} SELECT Country, coalesce(sum(LineAmount) FILTER (WHERE sold), 0)::DOUBLE "
+        "/ nullif(count(DISTINCT InvoiceNo) FILTER (WHERE sold), 0)::DOUBLE AS average_order_value FROM sales GROUP BY 1",
     "metric_cancellation_rate": f"{S} SELECT Country, count(DISTINCT InvoiceNo) FILTER (WHERE IsCancellation)::DOUBLE "
         "/ count(DISTINCT InvoiceNo)::DOUBLE AS cancellation_rate FROM sales GROUP BY 1",
     "base_metrics_all": f"{S} SELECT {MEASURES} FROM sales",
@@ -518,9 +518,12 @@ c_C AS (SELECT {MEASURES} FROM sales WHERE ym IN ('1996-11', '1996-12')) """
     "reconcile_slices": f"{S},{SLICES},{LONG},{COMPARED}, judged AS (SELECT *, {_status('tolerance')} IN ('passed', 'both-null') AS good FROM compared) "
         "SELECT slice_id, slice_value, count(*) AS metric_count, count(*) FILTER (WHERE NOT good) AS failed_count, "
         "CASE WHEN bool_and(good) THEN 'passed' ELSE 'failed' END AS status FROM judged GROUP BY 1, 2",
-    "reconciliation_gate": f"{S},{SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, 'baseline_metric_failed' AS code "
-        f"FROM compared WHERE {_status('tolerance')} NOT IN ('passed', 'both-null') "
-        "UNION ALL SELECT slice_id, slice_value, 'profit', 'baseline_metric_failed' FROM slices",
+    "reconciliation_gate": f"{S},{SLICES},{LONG},{COMPARED}, bad AS (SELECT slice_id, slice_value, metric_id FROM compared "
+        f"WHERE {_status('tolerance')} NOT IN ('passed', 'both-null')) "
+        "SELECT slice_id, slice_value, metric_id, 'baseline_metric_failed' AS code FROM bad "
+        "UNION ALL SELECT slice_id, slice_value, 'profit', 'baseline_metric_failed' FROM slices "
+        "UNION ALL SELECT DISTINCT slice_id, slice_value, NULL, 'baseline_slice_failed' FROM bad "
+        "UNION ALL SELECT NULL, NULL, NULL, 'baseline_reconciliation_failed' WHERE EXISTS (SELECT 1 FROM bad)",
     "measure_vs_baseline": f"{S},{SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, difference::DOUBLE AS difference, "
         f"{_status('0.0001')} AS status FROM compared",
     "rls_scenario_check": f"{S},{BRIDGE}, base AS (SELECT Country, sum(LineAmount) AS net FROM sales GROUP BY 1) "

@@ -39,10 +39,14 @@ def read_load(spark: SparkSession, path: str, status: str) -> DataFrame:
 
 
 def write_evidence(results: DataFrame, path: str, name: str, failed: DataFrame | None = None) -> None:
-    """JSON results and one status line; the status is failed when ``failed`` has any row."""
+    """JSON results and one status line.
+
+    The status is failed when ``failed`` has any row, passed when it has none, and
+    unchecked without ``failed``.
+    """
     spark = results.sparkSession
     results.write.mode("overwrite").json(f"{path}/results")
-    status = "passed" if failed is None or failed.isEmpty() else "failed"
+    status = "unchecked" if failed is None else "passed" if failed.isEmpty() else "failed"
     summary = spark.read.json(f"{path}/results", schema=results.schema).agg(F.count("*").alias("result_count"))
     summary.select(
         F.lit(name).alias("name"), F.lit(status).alias("status"), "result_count",
