@@ -74,10 +74,10 @@ def near_documents(docs: DataFrame) -> DataFrame:
     blocks = store_blocks(docs)
     items = set_join.items_with_partners(blocks, documents)
     nodes = items.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")
-    )
+        F.min("doc_id").alias("first"), F.min(F.struct("block", "place", "line")).alias("at")
+    ).select("node", "first", "at.*")
     nodes = stored(nodes, "nodes")
-    found = set_join.compared(nodes, links, "a long, b long")
+    found = set_join.compared(blocks, documents, nodes.withColumn("first", F.lit(0).cast("long")), links, "a long, b long")
     joined = nodes.select("node", "first").join(set_join.components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = joined.groupBy("component").agg(F.min("first").alias("component_id"))
     per_node = stored(joined.select("node", "component").join(names, "component").select(F.col("node").alias("of"), "component", "component_id"), "components")

@@ -84,11 +84,11 @@ def removed_lines(blocks: DataFrame) -> DataFrame:
     items = set_join.items_with_partners(blocks, lines)
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "block", "place", "line")
     rows = items.where("node IS NOT NULL")
-    nodes = rows.groupBy("node").agg(F.min(at).alias("at"), F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"))
+    nodes = rows.groupBy("node").agg(F.min(at).alias("at"))
     nodes = stored(nodes, "nodes")
     # Places of first lines in order, as one number that keeps their order.
     ranked = ordinals(nodes.select("node", "at"))
-    later = set_join.compared(nodes.drop("at").join(ranked, "node"), later_of_similar, "late long").distinct()
+    later = set_join.compared(blocks, lines, nodes.join(ranked, "node").select("node", "first", "at.block", "at.place", "at.line"), later_of_similar, "late long").distinct()
     verdict = nodes.select("node", "at").join(later, F.col("node") == F.col("late"), "left")
     verdict = stored(verdict.select(F.col("node").alias("of"), "at", F.col("late").isNotNull().alias("all")), "verdicts")
     joined = rows.select("block", "place", "line", "node").join(verdict, F.col("node") == F.col("of"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.blocks import MESSAGE, Block, answered, messages, mix64, n_buckets, over_blocks, store_blocks, stored
+from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64, n_buckets, over_blocks, packed, stored, unpacked
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT, WORDS = 80, 5
@@ -87,8 +87,11 @@ def least(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.
     return out
 
 
-def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tuple[int, int, np.ndarray]]]) -> DataFrame:
-    """One row per item: doc_id, row, block, place, line, n, and node and tokens if it may have a partner.
+Items = Callable[[Block], Iterator[tuple[int, int, np.ndarray]]]
+
+
+def items_with_partners(blocks: DataFrame, items: Items) -> DataFrame:
+    """One row per item: doc_id, row, block, place, line, n, and node if it may have a partner.
 
     ``items`` gives (place, line, sorted distinct tokens) of a block. Equal sets have equal nodes.
     """
@@ -109,16 +112,15 @@ def items_with_partners(blocks: DataFrame, items: Callable[[Block], Iterator[tup
         repeated = fronts(block)[0][np.frombuffer(got, np.uint8) > 0]
         for place, line, tokens in items(block):
             n = len(tokens)
-            row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None, "tokens": None}
+            row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None}
             front = mix64(tokens[: n - least_overlap(n) + slack(n)])
             if n and len(repeated):
                 at = np.minimum(np.searchsorted(repeated, front), len(repeated) - 1)
                 if int((repeated[at] == front).sum()) >= slack(n):
                     row["node"] = xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63
-                    row["tokens"] = tokens.tobytes()
             yield row
 
-    return stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long, tokens binary", replies), "items")
+    return stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long", replies), "items")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -145,35 +147,63 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
 
 
-def compared(nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | None], Iterator[tuple]], schema: str) -> DataFrame:
-    """What ``compare`` finds among nodes (node, first, n, tokens) that may be partners.
+def noted(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a block as its note to itself: the columns, long, in the order of place and line."""
+    schema = "block long, bucket long, answers binary"
 
-    It gets the (node, first, n, tokens) of one component or part, or of two parts.
-    """
-    blocks = store_blocks(nodes.select(F.col("node").alias("doc_id"), F.col("tokens").alias("text")))
-    buckets = n_buckets(blocks)
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("place", "ascending"), ("line", "ascending")])
+        data = packed([group.column(c).to_numpy().astype(np.int64) for c in ["place", "line", *columns]])
+        return pa.table({"block": group.column("block")[:1], "bucket": pa.array([NOTE], pa.int64()), "answers": pa.array([data], pa.binary())})
 
-    def fronts(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sets = [np.frombuffer(text, U64) for text in block.texts()]
-        sent = [tokens[: len(tokens) - least_overlap(len(tokens)) + 1] for tokens in sets]
-        return mix64(np.concatenate([*sent, np.zeros(0, U64)]).astype(U64)), np.repeat(block.ids, [len(s) for s in sent])
+    return rows.select("block", "place", "line", *columns).groupBy("block").applyInArrow(pack, schema)
 
-    def ask(block: Block) -> Iterator[dict]:
-        tokens, owners = fronts(block)
+
+def compared(
+    blocks: DataFrame, items: Items, nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | None], Iterator[tuple]], schema: str
+) -> DataFrame:
+    """What ``compare`` finds among nodes (node, first; block, place and line of one of its items) that may be partners.
+
+    It gets the (node, first, n, tokens) of one component or part, or of two parts. The
+    tokens are made from the blocks again and travel once, to the tasks that compare them.
+    """
+    buckets = n_buckets(blocks)
+    notes = stored(noted(nodes, ["node"]), "nodes-by-block")
+
+    def chosen(block: Block, state: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
+        """The tokens of the block's nodes and what the note says of them; one item may be noted several times."""
+        if state:
+            columns = [c.tolist() for c in unpacked(state)]
+            wanted: dict[tuple[int, int], list[list[int]]] = {}
+            for place, line, *rest in zip(*columns):
+                wanted.setdefault((place, line), []).append(rest)
+            for place, line, tokens in items(block):
+                for rest in wanted.get((place, line), ()):
+                    yield tokens, rest
+
+    def fronts(block: Block, state: bytes) -> tuple[np.ndarray, np.ndarray]:
+        sent, owners = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for tokens, (node,) in chosen(block, state):
+            sent.append(tokens[: len(tokens) - least_overlap(len(tokens)) + 1])
+            owners.append(np.full(len(sent[-1]), node))
+        return mix64(np.concatenate(sent)), np.concatenate(owners)
+
+    def ask(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
+        tokens, owners = fronts(block, state)
         order = np.lexsort((owners, tokens))
         first = np.flatnonzero(np.append(True, np.diff(tokens[order]) != 0)) if len(tokens) else order
         yield from messages(block, buckets, tokens[order][first], [owners[order][first]])
 
-    replies = answered(over_blocks(blocks, ask, MESSAGE), least)
+    replies = answered(over_blocks(blocks, ask, MESSAGE, notes), least)
 
-    def lead(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
-        tokens, owners = fronts(block)
+    def lead(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
+        tokens, owners = fronts(block, state)
         leaders = np.frombuffer(got, np.int64)[np.unique(tokens, return_inverse=True)[1]] if len(tokens) else np.zeros(0, np.int64)
         for a, b in np.unique(np.column_stack([owners, leaders]), axis=0).tolist():
             if a != b:
                 yield {"a": a, "b": b}
 
-    groups = stored(components(over_blocks(blocks, lead, "a long, b long", replies)), "groups")
+    groups = stored(components(over_blocks(blocks, lead, "a long, b long", replies.unionByName(notes))), "groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
     parts = F.ceil(F.col("size") / PART).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
@@ -182,10 +212,19 @@ def compared(nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | Non
     tasks = max(1, -(-total // PART))
     placed = groups.join(sizes, "component").select("node", "component", parts.alias("parts"), own.alias("own"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    task = F.when(F.col("parts") == 1, F.struct(F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("group"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))).otherwise(
-        F.struct(F.col("component").alias("group"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    alone = F.col("parts") == 1
+    rows = placed.join(nodes, "node").select(
+        "block", "place", "line", "node", "first", "component", "own",
+        F.when(alone, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(F.col("component")).alias("group"),
+        F.when(alone, -1).otherwise(F.least("own", "other")).alias("i"), F.when(alone, -1).otherwise(F.greatest("own", "other")).alias("j"),
     )
-    rows = placed.select("node", "component", "own", task.alias("task")).join(nodes, "node").select("task.*", "component", "own", "node", "first", "n", "tokens")
+    columns = ["node", "first", "component", "own", "group", "i", "j"]
+
+    def send(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
+        for tokens, rest in chosen(block, state):
+            yield {**dict(zip(columns, rest)), "n": len(tokens), "tokens": tokens.tobytes()}
+
+    rows = over_blocks(blocks, send, ", ".join(f"{c} long" for c in [*columns, "n"]) + ", tokens binary", noted(rows, columns))
 
     names = [field.split()[0] for field in schema.split(",")]
     kinds = pa.schema([(name, pa.int64()) for name in names])
