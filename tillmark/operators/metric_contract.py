@@ -12,7 +12,7 @@ from tillmark.functions.numbers import ratio
 from tillmark.functions.text import text_or_null
 
 AGGREGATIONS = ("sum", "average", "distinct_count", "ratio")
-SUM_TYPE = "decimal(28,8)"
+SUM_TYPE = "decimal(38,18)"
 
 
 def _base_columns(metric: Mapping) -> list[Column]:

@@ -82,7 +82,7 @@ def top_n_members(fact: DataFrame, field: str, n: int, bottom: bool = False) ->
 
 
 def product_cancellation_matrix(fact: DataFrame) -> DataFrame:
-    """Net and cancelled sales per product, and the cancelled share of the amount moved."""
+    """Net and cancelled sales and the number of cancelled lines per product."""
     amount, cancelled = F.col("LineAmount"), F.col("IsCancellation")
     return fact.groupBy("StockCode").agg(
         F.sum(amount).alias("net_sales"),

@@ -10,6 +10,9 @@ from tillmark.functions.numbers import AMOUNT
 
 UNKNOWN = "UNKNOWN"
 
+# Parts of the member that all lines without a customer share.
+UNKNOWN_SALTS = 64
+
 
 def standardized_fact(raw: DataFrame, description: str = "Description") -> DataFrame:
     """Raw table to the fact: trimmed country and the line amount."""
@@ -70,14 +73,21 @@ def star_denormalize(
     """Fact joined to its four dimensions; a line without a member keeps NULLs.
 
     The join strategy is left to Spark: sides within the broadcast threshold are broadcast,
-    larger ones shuffle, and the skew-join rule splits a member that holds many lines.
+    larger ones shuffle. Lines without a customer share one member, so its key is dealt
+    over ``UNKNOWN_SALTS`` parts, which Spark's skew rule would not do above an aggregate.
     """
+    lines = model_fact(fact)
+    is_unknown = F.col("CustomerKey") == UNKNOWN
+    salt = F.when(is_unknown, F.pmod(F.xxhash64("InvoiceNo", "StockCode", "InvoiceDate"), F.lit(UNKNOWN_SALTS))).otherwise(0)
+    parts = F.when(is_unknown, F.sequence(F.lit(0), F.lit(UNKNOWN_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    members = customers.select("CustomerKey", "IsUnknownCustomer", F.explode(parts).cast("bigint").alias("__salt"))
     return (
-        model_fact(fact)
+        lines.withColumn("__salt", salt.cast("bigint"))
         .join(dates.withColumnRenamed("Date", "InvoiceDateDate"), "InvoiceDateDate", "left")
         .join(products.select("StockCode", F.col("Description").alias("ProductDescription")), "StockCode", "left")
-        .join(customers.select("CustomerKey", "IsUnknownCustomer"), "CustomerKey", "left")
+        .join(members, ["CustomerKey", "__salt"], "left")
         .join(countries.select("Country", F.lit(True).alias("CountryKnown")), "Country", "left")
+        .drop("__salt")
     )
 
 

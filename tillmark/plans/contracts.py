@@ -25,7 +25,7 @@ FACT_COLUMNS = (
 
 # The data contract of the sales extract.
 SALES_CONTRACT = {
-    "dataset": {"name": "Retail sales lines", "grain": "one invoice product line per source row",
+    "dataset": {"name": "Retail sales lines",
                 "primary_key": ["SourceRowId"]},
     "expectations": {},
     "columns": [

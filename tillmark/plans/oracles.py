@@ -342,10 +342,13 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT CASE WHEN reject_code IS NULL THEN 'loaded' ELSE 'rejected' END, '', count(*) FROM read GROUP BY 1 "
         "UNION ALL SELECT 'rejected_as', reject_code, count(*) FROM read WHERE reject_code IS NOT NULL GROUP BY 2",
     "export_extract": f"{S},{EXPORT} SELECT * REPLACE (nullif(CustomerID, '') AS CustomerID, nullif(Description, '') AS Description) FROM export",
-    "extract_fingerprint": f"{S},{EXPORT}, words AS (SELECT CAST('0x' || substr(sha256("
+    "extract_fingerprint": f"{S},{EXPORT}, hashed AS (SELECT sha256("
         + " || ".join(f"length({name}) || ':' || {name}" for name in FACT)
-        + "), 1, 15) AS BIGINT) AS word FROM export) SELECT count(*) AS row_count, 13::BIGINT AS column_count, "
-        "CAST(sum(word) AS VARCHAR) AS digest_sum, CAST(bit_xor(word) AS VARCHAR) AS digest_xor FROM words",
+        + ") AS h FROM export), words AS (SELECT "
+        + ", ".join(f"CAST('0x' || substr(h, {start}, 13) AS BIGINT) AS w{i}" for i, start in enumerate((1, 14, 27, 40, 53)))
+        + " FROM hashed) SELECT count(*) AS row_count, 13::BIGINT AS column_count, concat_ws('.', "
+        + ", ".join(f"CAST(sum(w{i}) AS VARCHAR)" for i in range(5)) + ") AS digest_sum, concat_ws('.', "
+        + ", ".join(f"CAST(bit_xor(w{i}) AS VARCHAR)" for i in range(5)) + ") AS digest_xor FROM words",
     "evidence_sink": f"{S} SELECT 'source_row_count' AS check_name, count(*) AS observed_value FROM sales "
         "UNION ALL SELECT 'duplicate_source_row_id', count(*) FROM (SELECT 1 FROM sales GROUP BY SourceRowId HAVING count(*) > 1) "
         "UNION ALL SELECT 'required_field_missing', 0 UNION ALL SELECT 'zero_price_line', count(*) FROM sales WHERE ZeroPrice "
