@@ -66,3 +66,15 @@ def test_no_lines_give_the_overall_slice_alone(spark, sf_dir):
     rows = measures.measures_all_slices(nothing).collect()
     assert [(r.slice_id, r.net_sales, r.order_count) for r in rows] == [("all", 0, 0)]
     assert oracle.plan(measures.measures_by(nothing)).count("Union") == oracle.plan(nothing).count("Union")
+
+
+def test_lines_without_a_customer_are_dealt_over_parts(spark, sf_dir):
+    from tillmark.operators import star
+
+    fact = sales_line(spark, sf_dir)
+    dimensions = star.dim_date(fact), star.dim_product(fact), star.dim_customer(fact), star.dim_country(fact)
+    joined = star.star_denormalize(fact, *dimensions)
+    assert "__salt" not in joined.columns
+    assert joined.count() == fact.count()
+    unknown = joined.where(f"CustomerKey = '{star.UNKNOWN}'")
+    assert unknown.count() > 0 and unknown.where("IsUnknownCustomer IS NULL").count() == 0

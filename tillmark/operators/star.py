@@ -9,7 +9,6 @@ from tillmark.functions.months import year_month
 from tillmark.functions.numbers import AMOUNT
 
 UNKNOWN = "UNKNOWN"
-
 # Parts of the member that all lines without a customer share.
 UNKNOWN_SALTS = 64
 
@@ -80,7 +79,7 @@ def star_denormalize(
     is_unknown = F.col("CustomerKey") == UNKNOWN
     salt = F.when(is_unknown, F.pmod(F.xxhash64("InvoiceNo", "StockCode", "InvoiceDate"), F.lit(UNKNOWN_SALTS))).otherwise(0)
     parts = F.when(is_unknown, F.sequence(F.lit(0), F.lit(UNKNOWN_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    members = customers.select("CustomerKey", "IsUnknownCustomer", F.explode(parts).cast("bigint").alias("__salt"))
+    members = customers.select("CustomerKey", "IsUnknownCustomer", F.explode(parts.cast("array<bigint>")).alias("__salt"))
     return (
         lines.withColumn("__salt", salt.cast("bigint"))
         .join(dates.withColumnRenamed("Date", "InvoiceDateDate"), "InvoiceDateDate", "left")
