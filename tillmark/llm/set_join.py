@@ -29,7 +29,7 @@ from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64,
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT, WORDS = 80, 5
 #: Sets of one part of a large component, and of one task of small ones.
-PART = 1024
+PART = 4096
 
 U64 = np.uint64
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
