@@ -10,9 +10,16 @@ from tillmark.sources.scratch import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; the model learns from the training labels."""
+    """Documents that score below one half; the model learns from the training labels.
+
+    A model without a lexicon (no usable label, or labels that no word goes with) gives all
+    documents one score and tells none apart; then every document stays.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out("doc_id", 5))
-    scored = toxicity.toxicity(docs, *toxicity.train(docs, labels))
+    model, weights, linear = toxicity.train(docs, labels)
+    if not weights:
+        return docs
+    scored = toxicity.toxicity(docs, model, weights, linear)
     return scored.where("toxicity < 0.5").drop("toxicity")
 
 

@@ -84,3 +84,13 @@ def test_run_gives_the_last_stage(spark, folder):
     out = corpus_pipeline.run(spark, path)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert out.count() > 0
+
+
+@pytest.mark.parametrize("labels", [[], [(9999, 1, 1)], [(i, 1, 1) for i in range(160)]])
+def test_toxicity_stage_keeps_all_when_nothing_is_learned(spark, folder, tmp_path, labels):
+    path, rows = folder
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(i for i, _ in pairs(kept)) == sorted(i for i, *_ in rows)
