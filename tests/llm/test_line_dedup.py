@@ -44,3 +44,9 @@ def test_matches_all_pairs(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert line_dedup.without_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_short_lines_go_with_equal_ones(spark):
+    rows = [(1, "All rights reserved.\nalone\n\n"), (2, "ALL  rights reserved.\nreserved rights all\n\nx"), (3, "x\nall rights\nX\nall rights reserved. now and then")]
+    found = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: list(r.removed) for r in found} == {1: [], 2: [0], 3: [0, 2]}

@@ -2,8 +2,8 @@
 
 The tokens of a line are its distinct runs of five words (all words of a shorter line), A
 to Z in lower case. A line goes if an earlier line, by doc_id and line number, has a token
-set with a Jaccard similarity of 0.8 or more. Lines are judged on the input. Lines of
-fewer than ``LEAST_WORDS`` words say too little by themselves; they neither go nor remove.
+set with a Jaccard similarity of 0.8 or more. Lines are judged on the input. Every line
+with a word takes part; one of fewer than five words goes if an earlier one has the same words.
 
 Lines that may be similar are brought together by :mod:`tillmark.llm.set_join`. A task
 orders the tokens of its sets by rarity and indexes only the rare front that two similar
@@ -25,7 +25,8 @@ from tillmark.llm import set_join
 from tillmark.llm.blocks import Block, over_blocks, store_blocks, stored
 from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, shingles, word_hashes
 
-LEAST_WORDS = 5
+#: Lines without a word have no tokens to compare.
+LEAST_WORDS = 1
 
 
 def lines(block: Block) -> Iterator[tuple[int, int, np.ndarray]]:
