@@ -71,3 +71,16 @@ def test_matches_all_pairs(spark, monkeypatch, part, block_bytes):
 
 def test_empty_table(spark):
     assert jaccard_join.near_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("part", [1024, 16])
+def test_every_link_counts(spark, monkeypatch, part):
+    monkeypatch.setattr(set_join, "PART", part)
+    rows = documents(5)
+    sets = [shingle_set(text) for _, text in rows]
+    near = lambda a, b: a and 100 * len(a & b) >= 80 * len(a | b)
+    expected = [(i, sum(bool(near(a, b)) for b in sets) - bool(a)) for (i, _), a in zip(rows, sets)]
+    assert max(n for _, n in expected) > 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard_join.near_documents(docs).select("doc_id", "n_links").collect()
+    assert sorted([tuple(r) for r in found], key=str) == sorted(expected, key=str)
