@@ -122,3 +122,26 @@ def test_word_probabilities_sum_to_less_than_one():
 
 def test_no_documents(spark):
     assert context_mixing.lm_scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_isolated_vectors_small_groups_and_other_lengths(spark):
+    rng = np.random.default_rng(3)
+    clustered = rng.normal(size=(20, 8))[rng.integers(0, 20, 3000)] + 0.3 * rng.normal(size=(3000, 8))
+    isolated = 20 * rng.normal(size=(20, 8))
+    groups = np.repeat(15 * rng.normal(size=(20, 8)), 5, axis=0) + 1e-3 * rng.normal(size=(100, 8))
+    v = np.concatenate([clustered, isolated, groups])
+    other = rng.normal(size=(40, 5))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(10_000 + i, x.tolist()) for i, x in enumerate(other)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    by = {}
+    for r in nearest.nearest(table, table.where("vec_id >= 3000")).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    assert all(len(by.get(i, ())) == 10 for i, _ in rows[3000:])
+    hits = 0
+    for i in range(3000, len(v)):
+        d = ((v - v[i]) ** 2).sum(1)
+        hits += len(by[i] & {j for j in np.argsort(d)[:11].tolist() if j != i})
+    assert hits >= 0.9 * 10 * (len(v) - 3000)
+    for i in range(40):
+        d = ((other - other[i]) ** 2).sum(1)
+        assert by[10_000 + i] == {10_000 + j for j in np.argsort(d)[1:11].tolist()}

@@ -3,8 +3,9 @@
 Centroids come from a balanced k-means over a bounded sample. They are searched by a
 proximity graph held in memory. Every vector goes to the list of its nearest centroid and,
 if it lies near a boundary, to the lists of others that are hardly farther. A query visits
-the lists whose centroids the graph finds nearest, and of these only such as lie within a
-ratio of the nearest distance. Distances are exact, in double precision.
+the lists whose centroids the graph finds nearest: as many as hold the ids of a full result,
+and then such as lie within a ratio of the last of these. One that does not get there visits
+all lists. Distances are exact, in double precision. Vectors of each length are searched apart.
 
 Equal vectors are one entry of a list with their smallest ids, as many as a result can
 hold, so a vector that a third of all rows share does not fill a list. Long lists are
@@ -13,6 +14,8 @@ searched in parts of bounded size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,7 +29,7 @@ SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 2_000_000
 LIST, MOST_CENTROIDS, PART = 128, 2048, 4096
 #: Most lists that hold a vector, and how much farther than the nearest these may be.
 COPIES, BOUNDARY = 4, 0.08
-#: Most lists that a query visits, and their ratio to the nearest.
+#: Most lists that a query visits unless it falls short, and their ratio to the last that fills a result.
 PROBES, RATIO = 48, 1.5
 DEGREE, BEAM = 24, 64
 NEAREST = 10
@@ -127,15 +130,24 @@ def nearest(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """The NEAREST vectors found for each query: query_id, rank from 1, vec_id, score.
 
     Both tables have vec_id and embedding. A query does not find its own id. Ties go to
-    smaller ids. Only vectors of the most frequent length take part. Rows that repeat
-    count once. Empty tables give no rows; other columns are not read.
+    smaller ids. A query is compared with vectors of its own length, and an id with vectors of
+    several lengths is a query of each. Rows that repeat count once. Empty tables give no rows;
+    other columns are not read.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors)
-    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if lengths is None:
+    rows, asked = usable(vectors), usable(queries).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates()
+    # One row per length.
+    both = rows.select(F.size("v").alias("d")).distinct().join(asked.select(F.size("v").alias("d")).distinct(), "d")
+    pairs = [pairs_of_length(rows, asked, r.d) for r in both.orderBy("d").collect()]
+    if not pairs:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d = lengths.d
+    once = reduce(DataFrame.unionByName, pairs).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
+
+
+def pairs_of_length(rows: DataFrame, asked: DataFrame, d: int) -> DataFrame:
+    """(query_id, vec_id, score): what each list visited by a query of length ``d`` has nearest to it."""
     distinct = stored(distinct_vectors(rows.where(F.size("v") == d)), "vectors")
     n = distinct.count()
     sample = distinct.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(max(1, min(SAMPLE_ROWS, SAMPLE_VALUES // d))).select("v").collect()
@@ -143,22 +155,40 @@ def nearest(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     k = max(1, min(MOST_CENTROIDS, -(-n // LIST), max(1, len(sample) // 8)))
     graph = Graph(balanced_centroids(sample, k))
 
-    def dealt(column: int, most: int, reach: float):
+    def dealt(column: int, most: int, visited):
         def run(batches):
             for batch in batches:
                 for low in range(0, batch.num_rows, 512):
                     part = batch.slice(low, 512)
                     ids, dist = graph.search(part.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, d), most)
-                    keep = dist <= (1 + reach) * dist[:, :1] + 1e-12
-                    at, slot = np.nonzero(keep)
+                    at, own, slot = visited(ids, dist)
                     taken = part.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at, slot], pa.int32()), *taken.columns], ["list", *part.schema.names])
+                    columns = [pa.array(own, pa.int32()), pa.array(slot == 0), *taken.columns]
+                    yield pa.RecordBatch.from_arrays(columns, ["list", "main", *part.schema.names])
 
         return run
 
-    lists = stored(distinct.mapInArrow(dealt(0, COPIES, BOUNDARY), "list int, v array<double>, ids array<long>"), "lists")
-    asked = usable(queries).where(F.size("v") == d).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates()
-    probes = asked.mapInArrow(dealt(1, PROBES, RATIO - 1), "list int, query_id long, v array<double>")
+    def near_boundary(ids: np.ndarray, dist: np.ndarray):
+        at, slot = np.nonzero(dist <= (1 + BOUNDARY) * dist[:, :1] + 1e-12)
+        return at, ids[at, slot], slot
+
+    lists = stored(distinct.mapInArrow(dealt(0, COPIES, near_boundary), "list int, main boolean, v array<double>, ids array<long>"), "lists")
+    # One row per centroid at most. Boundary copies do not count, so no id counts twice by its vector.
+    held = np.zeros(k, np.int64)
+    for r in lists.where("main").groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect():
+        held[r.list] = r.n
+    filled = np.array(sorted(r.list for r in lists.select("list").distinct().collect()), np.int64)
+
+    def enough(ids: np.ndarray, dist: np.ndarray):
+        have = np.cumsum(np.where(np.isinf(dist), 0, held[ids]), axis=1) > NEAREST
+        full, last = have.any(1), have.argmax(1)
+        reach = np.where(full, dist[np.arange(len(ids)), last], -1.0)
+        at, slot = np.nonzero((dist <= RATIO * reach[:, None] + 1e-12) & full[:, None])
+        short = np.flatnonzero(~full)
+        every = np.repeat(short, len(filled))
+        return np.concatenate([at, every]), np.concatenate([ids[at, slot], np.tile(filled, len(short))]), np.concatenate([slot, np.zeros(len(every), np.int64)])
+
+    probes = asked.where(F.size("v") == d).mapInArrow(dealt(1, PROBES, enough), "list int, main boolean, query_id long, v array<double>")
     # One row per centroid at most.
     parts = stored(lists.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "parts")
     left = lists.join(F.broadcast(parts), "list").select("list", F.pmod(F.xxhash64("v"), "parts").cast("int").alias("part"), "v", "ids")
@@ -178,10 +208,7 @@ def nearest(vectors: DataFrame, queries: DataFrame) -> DataFrame:
         a, b, c = zip(*found) if found else ((), (), ())
         return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
 
-    pairs = left.groupBy("list", "part").cogroup(right.groupBy("list", "part")).applyInArrow(closest, "query_id long, vec_id long, score double")
-    once = pairs.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy("list", "part").cogroup(right.groupBy("list", "part")).applyInArrow(closest, "query_id long, vec_id long, score double")
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
