@@ -12,6 +12,7 @@ from tillmark.llm.packing import op9_best_fit_packing
 from tillmark.llm.suffix_dedup import op1_suffix_array_dedup
 from tillmark.llm.token_counts import op3_token_counts
 from tillmark.llm.toxicity import op2_toxicity
+from tillmark.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {}
