@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillmark.llm import collocations
 from tillmark.llm.context_mixing import op10_lm_scoring
 from tillmark.llm.fingerprints import op7_document_fingerprints
 from tillmark.llm.jaccard_join import op4_ngram_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_phrase_collocations": collocations.SQL}
