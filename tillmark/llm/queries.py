@@ -7,6 +7,7 @@ from tillmark.llm.context_mixing import op10_lm_scoring
 from tillmark.llm.fingerprints import op7_document_fingerprints
 from tillmark.llm.jaccard_join import op4_ngram_jaccard_join
 from tillmark.llm.line_dedup import op8_line_dedup
+from tillmark.llm.minhash import op13_minhash_near_dedup
 from tillmark.llm.mixing import op6_source_mixing
 from tillmark.llm.nearest import op5_nearest_neighbours
 from tillmark.llm.packing import op9_best_fit_packing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_phrase_collocations": collocations.op12_phrase_collocations,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 ORACLES = {"op12_phrase_collocations": collocations.SQL}
