@@ -15,13 +15,14 @@ Counts themselves are a distributed table, merged by key.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -135,12 +136,12 @@ def active(keys: list[tuple[np.ndarray, np.ndarray]], reached: np.ndarray, step:
 DELTA = "key long, k int, n long, first int, at long"
 
 
-def scanned(shard: DataFrame, reached: np.ndarray, step: int) -> DataFrame:
-    """Counts of the active phrases of each block of a shard; ``at`` is the block."""
-    table, shards = shard.sparkSession.sparkContext.broadcast(reached.tobytes()), SHARDS
+def scanned(shard: DataFrame, table: Broadcast, step: int) -> DataFrame:
+    """Counts of the active phrases of each block of a shard; ``table`` is the packed table of steps, ``at`` the block."""
+    shards = SHARDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.frombuffer(table.value, np.uint8)
+        own = np.frombuffer(zlib.decompress(table.value), np.uint8)
         for batch in batches:
             for row in batch.to_pylist():
                 keys = phrase_keys(np.frombuffer(row["places"], np.int32), np.frombuffer(row["hashes"], U64))
@@ -165,7 +166,9 @@ def frequent_phrases(blocks: DataFrame) -> DataFrame:
     finished, last_new, step = [], -1, 0
     before = None
     while step < max(SHARDS, last_new + SHARDS + 1):
-        delta = scanned(blocks.where(F.col("shard") == step % SHARDS), reached, step)
+        # Free slots pack to nothing.
+        table = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))
+        delta = scanned(blocks.where(F.col("shard") == step % SHARDS), table, step)
         both = state.drop("done").unionByName(delta, allowMissingColumns=True)
         merged = both.groupBy("key", "k").agg(
             F.sum("n").alias("n"), F.min("first").alias("first"), F.min("at").alias("at"), F.min("reached").alias("reached")
@@ -175,6 +178,7 @@ def frequent_phrases(blocks: DataFrame) -> DataFrame:
         }).where(f"NOT done OR n >= {LEAST}")
         path = scratch_path(spark, f"phrases-{step}")
         merged.write.partitionBy("done").parquet(path)
+        table.destroy()
         now = spark.read.schema(STATE).parquet(path)
         finished.append(now.where("done"))
         state = now.where("NOT done")
