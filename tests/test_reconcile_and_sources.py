@@ -68,7 +68,7 @@ def test_missing_file_and_long_delimiter(spark, tmp_path):
 def test_row_numbers_run_on_across_files(spark, tmp_path):
     path = str(tmp_path / "many")
     spark.range(1000).select(F.col("id").cast("string").alias("id")).repartition(7).write.option("header", True).csv(path)
-    numbered = delimited.with_row_number(delimited.scan_contract_csv(spark, path))
+    numbered = delimited.scan_contract_csv(spark, path, row="row")
     assert sorted(r.row for r in numbered.collect()) == list(range(2, 1002))
 
 

@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillmark.functions import exact
 from tillmark.functions.text import stripped
 
-WIDE = "decimal(38,18)"
 PRICE = "decimal(18,4)"
 AMOUNT = "decimal(20,4)"
 
 
-def parse_decimal(value: Column) -> Column:
-    """Decimal from any cell, NULL when blank or not a number."""
-    return stripped(value).try_cast(WIDE)
+def parse_number(value: Column) -> Column:
+    """The number in any cell, of any length, as :mod:`tillmark.functions.exact` has it; NULL when blank or none."""
+    return exact.number(stripped(value))
+
+
+def _without_fraction(number: Column) -> Column:
+    """The whole part as bigint, NULL where it does not fit."""
+    place = F.greatest(F.least(number["place"], F.lit(20)), F.lit(0)).cast("int")
+    digits = F.rpad(F.left(number["digits"], place), place, "0")
+    signed = F.concat(F.when(number["sign"] < 0, "-").otherwise(""), F.when(place == 0, "0").otherwise(digits))
+    return signed.try_cast("bigint")
 
 
-def is_integral(number: Column) -> Column:
-    return number == F.floor(number)
+def quantity_value(number: Column) -> Column:
+    """A whole quantity."""
+    return F.when(exact.is_whole(number), _without_fraction(number))
 
 
 def quantity_issue(number: Column) -> Column:
     """Reject code for a parsed quantity; NULL when it is a whole number."""
     return (
-        F.when(number.try_cast("bigint").isNull(), "quantity_invalid")
-        .when(~is_integral(number), "quantity_not_integral")
+        F.when(_without_fraction(number).isNull(), "quantity_invalid")
+        .when(~exact.is_whole(number), "quantity_not_integral")
     )
 
 
 def unit_price_issue(number: Column) -> Column:
     """Reject code for a parsed price; NULL when it is zero or more."""
-    return F.when(rounded_price(number).isNull(), "unit_price_invalid").when(number < 0, "unit_price_negative")
+    return F.when(rounded_price(number).isNull(), "unit_price_invalid").when(number["sign"] < 0, "unit_price_negative")
 
 
 def rounded_price(number: Column) -> Column:
     """Two decimals, ties to even."""
-    return F.bround(number, 2).try_cast(PRICE)
+    return F.try_multiply(exact.half_even(number, 2), F.lit(Decimal("0.01"))).try_cast(PRICE)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

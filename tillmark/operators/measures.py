@@ -160,6 +160,21 @@ def measures_by(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def member_tables(fact: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The sums of each group, and its members (is_customer, member) with the flags of the distinct counts."""
+    prefix, group = _key_lists(keys)
+    _, by_invoice = _key_lists([*keys, "InvoiceNo", "CustomerID"])
+    _, by_member = _key_lists([*keys, "is_customer", "member"])
+    invoices = f"WITH lines AS ({_LINES}), invoices AS ({_INVOICES.replace('{keys}', prefix).replace('{group}', by_invoice)})"
+    amount = _amount_type(fact)
+    added = ", ".join(f"CAST(sum({name}) AS {'bigint' if name == 'units_sold' else amount}) AS {name}" for name in _AMOUNTS)
+    sums = fact.sparkSession.sql(f"{invoices} SELECT {prefix}{added} FROM invoices {group}", fact=fact)
+    members = fact.sparkSession.sql(
+        f"{invoices}, entries AS (SELECT {prefix}{_ENTRIES.replace('{source}', 'invoices')}) "
+        f"SELECT {prefix}is_customer, member, {_FLAGS} FROM entries {by_member}", fact=fact)
+    return sums, members
+
+
 def sum_measure(fact: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
     """One of the measures that need no distinct count, in a single aggregate."""
     amount, completed = F.col("LineAmount"), is_completed()
@@ -285,7 +300,7 @@ def measures_for_month(fact: DataFrame, month: str) -> DataFrame:
     )
 
 
-def long_measures(measures: DataFrame, keys: Sequence[str], names: Sequence[str] = REPORTED_MEASURES) -> DataFrame:
-    """One row per key and measure, values as double."""
-    wide = measures.select(*keys, *[F.col(name).cast("double").alias(name) for name in names])
+def long_measures(measures: DataFrame, keys: Sequence[str], names: Sequence[str] = REPORTED_MEASURES, value_type: str = "double") -> DataFrame:
+    """One row per key and measure; a decimal ``value_type`` keeps sums exact."""
+    wide = measures.select(*keys, *[F.col(name).cast(value_type).alias(name) for name in names])
     return wide.unpivot([F.col(key) for key in keys], [F.col(name) for name in names], "metric_id", "value")

@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.functions import exact
 from tillmark.functions import numbers as N
 from tillmark.functions import text as T
+from tillmark.operators.numbering import with_running_number
 from tillmark.plans.contracts import SHEET_ALIASES
+from tillmark.sources.delimited import scan_with_rows
 
 LOADED_COLUMNS = (
     "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
@@ -21,7 +24,7 @@ LOADED_COLUMNS = (
 
 
 def map_source_columns(
-    raw: DataFrame, aliases: Mapping[str, Sequence[str]] = SHEET_ALIASES, keep: Sequence[str] = (),
+    raw: DataFrame, aliases: Mapping[str, Sequence[str]] = SHEET_ALIASES, keep: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Standard field names; the first alias that exists as a column wins, absent fields are NULL."""
     by_header = {header.strip(): header for header in raw.columns}
@@ -35,15 +38,41 @@ def map_source_columns(
 
 def append_sheets(
     sheets: Mapping[str, DataFrame], aliases: Mapping[str, Sequence[str]] = SHEET_ALIASES, keep: Sequence[str] = (),
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows of all sheets under standard names, each marked with its sheet."""
+    """Rows of all sheets under standard names, each marked with its SourceSheet.
+
+    With an ``order``, columns that tell the rows of a sheet apart, every row also gets a SourceRowId. It
+    runs on from 1 through the sheets as they are listed, and counts every observed row, so
+    that rows rejected later leave gaps.
+    """
     mapped = [
-        map_source_columns(sheet, aliases, keep).withColumn("SourceSheet", F.lit(name))
-        for name, sheet in sheets.items()
+        map_source_columns(sheet, aliases, [*keep, *[F.col(f"`{name}`").alias(f"|{name}") for name in order]])
+        .withColumns({"SourceSheet": F.lit(name), "|sheet": F.lit(place)})
+        for place, (name, sheet) in enumerate(sheets.items())
     ]
     result = mapped[0]
     for sheet in mapped[1:]:
         result = result.unionByName(sheet)
+    if not order:
+        return result.drop("|sheet")
+    extra = ["|sheet", *[f"|{name}" for name in order]]
+    return with_running_number(result, [F.col(f"`{name}`") for name in extra], "SourceRowId").drop(*extra)
+
+
+def append_sheet_files(
+    spark: SparkSession, paths: Mapping[str, str], aliases: Mapping[str, Sequence[str]] = SHEET_ALIASES, delimiter: str = ",", encoding: str = "utf-8-sig",
+) -> DataFrame:
+    """Like :func:`append_sheets` for sheets kept as delimited files, numbered in the order of the text."""
+    result, first = None, 1
+    for name, path in paths.items():
+        sheet, rows = scan_with_rows(spark, path, delimiter, encoding, "SourceRowId", first)
+        first += rows
+        if sheet.columns:
+            mapped = map_source_columns(sheet, aliases, ["SourceRowId"]).withColumn("SourceSheet", F.lit(name))
+            result = mapped if result is None else result.unionByName(mapped)
+    if result is None:
+        raise ValueError("sheets_without_header")
     return result
 
 
@@ -70,22 +99,21 @@ def normalise_lines(mapped: DataFrame, keep: Sequence[str] = ("SourceRowId",)) -
     )
     parsed = stripped.select(
         *keep, "InvoiceNo", "StockCode", "Description", "Country",
-        F.col("Quantity").try_cast(N.WIDE).alias("quantity_read"),
+        exact.number(F.col("Quantity")).alias("quantity_read"),
         F.col("date_read").isNull().alias("date_missing"),
         parse_invoice_date(F.col("date_read"), date_type).alias("InvoiceDate"),
-        F.col("UnitPrice").try_cast(N.WIDE).alias("price_read"),
+        exact.number(F.col("UnitPrice")).alias("price_read"),
         T.canonical_customer_id(F.col("CustomerID")).alias("CustomerID"),
     )
     return parsed.select(
         *keep, "InvoiceNo", "StockCode", "Description",
-        F.when(N.quantity_issue(F.col("quantity_read")).isNull(), F.col("quantity_read").try_cast("bigint"))
-        .alias("Quantity"),
+        N.quantity_value(F.col("quantity_read")).alias("Quantity"),
         "InvoiceDate",
         N.rounded_price(F.col("price_read")).alias("UnitPrice"),
         "CustomerID", "Country",
         F.upper("InvoiceNo").startswith("C").alias("IsCancellation"),
         F.col("CustomerID").isNull().alias("UnknownCustomer"),
-        (F.col("price_read") == 0).alias("ZeroPrice"),
+        (F.col("price_read")["sign"] == 0).alias("ZeroPrice"),
         reject_code().alias("reject_code"),
     )
 

@@ -9,18 +9,25 @@ from tillmark.plans.contracts import DESCRIPTION_LIMIT
 
 
 def table_profile(table: DataFrame) -> DataFrame:
-    """Type, nulls and text lengths of every column, from one aggregate over one scan."""
-    def facts(name: str, data_type: str):
-        length = F.length(F.col(f"`{name}`").cast("string"))
-        return F.struct(
-            F.lit(name).alias("column_name"), F.lit(data_type).alias("data_type"),
-            F.count("*").alias("row_count"), F.count_if(F.col(f"`{name}`").isNull()).alias("null_count"),
-            F.min(length).alias("min_length"), F.max(length).alias("max_length"),
-        )
+    """Type, rows, nulls, distinct values and text lengths of every column.
 
-    return table.agg(F.array(*[facts(*column) for column in table.dtypes]).alias("columns")).select(
-        F.inline("columns")
+    Cells become (column, value) rows that combine on the map side, so a value that most rows
+    share travels once per task; a long value travels as its SHA-256.
+    """
+    types = dict(table.dtypes)
+    cells = table.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in types]).unpivot([], list(types), "column_name", "value")
+    size = F.length("value")
+    short = F.when(size > 64, F.concat(F.lit("#"), F.sha2("value", 256), size.cast("string"))).otherwise(F.col("value"))
+    values = cells.groupBy("column_name", short.alias("value"), size.alias("size")).agg(F.count("*").alias("n"))
+    facts = values.groupBy("column_name").agg(
+        F.sum("n").alias("row_count"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"), F.min("size").alias("min_length"), F.max("size").alias("max_length"),
     )
+    # A table without rows has a row per column all the same.
+    every = table.sparkSession.createDataFrame(list(types.items()), "column_name string, data_type string")
+    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    return every.join(facts, "column_name", "left").select(
+        "column_name", "data_type", zero("row_count"), zero("null_count"), zero("distinct_count"), "min_length", "max_length")
 
 
 def description_length_guard(fact: DataFrame, limit: int = DESCRIPTION_LIMIT) -> DataFrame:

@@ -2,24 +2,27 @@
 
 Cell checks unpivot a row into its cells and run one small expression over them, however
 many columns the contract has; a wide expression per row would outgrow what the JVM
-compiles. Key checks group before they join, so that a key with very many copies is never
-gathered in one task.
+compiles. Key checks group before they join, and deal keys with very many rows over tasks.
 """
 
 from __future__ import annotations
 
-import keyword
+import ast
+import operator
 import re
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from decimal import Decimal, localcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.functions import exact
+from tillmark.functions.dates import fits_format
 from tillmark.functions.text import BOOLEAN_WORDS, stripped
+from tillmark.sources.scratch import stored
 
-# What a report says about each finding.
+# What a report says about each finding.
 MESSAGES = {
     "missing_required_column": "A required column is not in the header.",
     "below_minimum_rows": "Fewer rows than the contract asks for.",
@@ -35,41 +38,22 @@ MESSAGES = {
     "formula_evaluation_error": "The formula has no value for this row.",
 }
 
-# Strptime directives and the Spark pattern letters that read the same text.
-DATE_LETTERS = {"Y": "yyyy", "m": "M", "d": "d", "H": "H", "M": "m", "S": "s"}
 DEFAULT_FORMATS = {"date": "%Y-%m-%d", "datetime": "%Y-%m-%dT%H:%M:%S"}
 
-INTEGER_OPERAND = "decimal(18,0)"
-NUMBER_OPERAND = "decimal(18,6)"
-
-
-def spark_date_pattern(strptime_format: str) -> str:
-    """Spark pattern of a strptime format; one-digit parts are accepted, as strptime does."""
-    def piece(match: re.Match) -> str:
-        directive, literal = match.group(1), match.group(2)
-        if literal is not None:
-            return "'" + literal.replace("'", "''") + "'"
-        if directive not in DATE_LETTERS:
-            raise ValueError(f"unsupported_date_directive: %{directive}")
-        return DATE_LETTERS[directive]
-
-    return re.sub(r"%(.)|([A-Za-z']+)", piece, strptime_format)
-
 
 def _fits(text: Column, column: Mapping) -> Column:
-    """Whether stripped text has the column's type."""
+    """Whether stripped text has the column's type; numbers may have any length."""
     kind = column["type"]
     if kind == "string":
         return text.isNotNull()
     if kind == "integer":
         return text.rlike(r"^(0|-?[1-9][0-9]*)$")
     if kind == "number":
-        return text.try_cast("decimal(38,18)").isNotNull()
+        return text.rlike(exact.NUMBER_TEXT)
     if kind == "boolean":
         return F.lower(text).isin(*BOOLEAN_WORDS)
     if kind in DEFAULT_FORMATS:
-        pattern = spark_date_pattern(column.get("format", DEFAULT_FORMATS[kind]))
-        return F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+        return fits_format(text, column.get("format", DEFAULT_FORMATS[kind]))
     raise ValueError(f"unsupported_type: {kind}")
 
 
@@ -117,16 +101,16 @@ def _by_scope(columns: Sequence[Mapping], value) -> Column:
     return F.lit(None) if case is None else case
 
 
-def _cell_findings(columns: Sequence[Mapping]) -> dict[str, Column]:
-    text, raw = F.col("text"), F.col("raw")
-    filled, usable = F.coalesce(text, F.lit("")) != "", F.col("usable")
-    # Reading a word as a number is slow, so only cells of bounded columns are read.
-    number = _by_scope(columns, lambda c: text.try_cast("decimal(38,18)") if {"min", "max"} & set(c) else None)
-    number = number.cast("decimal(38,18)")
+def _bounded(columns: Sequence[Mapping]) -> list[str]:
+    return [column["name"] for column in columns if {"min", "max"} & set(column)]
 
-    def bound(side: str) -> Column:
-        return _by_scope(columns, lambda c: F.lit(Decimal(str(c[side]))).cast("decimal(38,10)") if side in c else None)
 
+def _cell_findings(columns: Sequence[Mapping]) -> dict[str, Column]:
+    """The test of each code over a cell's raw, text, usable and, where it is bounded, number."""
+    raw, number, usable = F.col("raw"), F.col("number"), F.col("usable")
+    filled = F.coalesce(F.col("text"), F.lit("")) != ""
+    low = _by_scope(columns, lambda c: exact.below(number, exact.literal(c["min"])) if "min" in c else None)
+    high = _by_scope(columns, lambda c: exact.below(exact.literal(c["max"]), number) if "max" in c else None)
     allowed = _by_scope(columns, lambda c: raw.isin(*[str(v) for v in c["allowed_values"]])
                         if c.get("allowed_values") is not None else None)
     required = [column["name"] for column in columns if not column.get("nullable", True)]
@@ -134,63 +118,68 @@ def _cell_findings(columns: Sequence[Mapping]) -> dict[str, Column]:
         "null_not_allowed": F.col("scope").isin(*required) & ~filled,
         "invalid_type": filled & ~usable,
         "not_allowed": usable & ~allowed.cast("boolean"),
-        "below_minimum": usable & (number < bound("min").cast("decimal(38,10)")),
-        "above_maximum": usable & (number > bound("max").cast("decimal(38,10)")),
+        "below_minimum": usable & low.cast("boolean"),
+        "above_maximum": usable & high.cast("boolean"),
     }
 
 
-class _Operand:
-    """A column in contract arithmetic. Overflow and division by zero give NULL, not an error."""
-
-    def __init__(self, column: Column) -> None:
-        self.column = column
-
-    @staticmethod
-    def of(value: object) -> _Operand:
-        if isinstance(value, _Operand):
-            return value
-        if isinstance(value, (int, float)) and not isinstance(value, bool):
-            return _Operand(F.lit(Decimal(str(value))))
-        raise ValueError("unsupported_formula_expression")
+# ---- formulas -------------------------------------------------------------------
 
-    def _with(self, function, left: object, right: object) -> _Operand:
-        return _Operand(function(self.of(left).column, self.of(right).column))
-
-    def __add__(self, other): return self._with(F.try_add, self, other)
-    def __radd__(self, other): return self._with(F.try_add, other, self)
-    def __sub__(self, other): return self._with(F.try_subtract, self, other)
-    def __rsub__(self, other): return self._with(F.try_subtract, other, self)
-    def __mul__(self, other): return self._with(F.try_multiply, self, other)
-    def __rmul__(self, other): return self._with(F.try_multiply, other, self)
-    def __truediv__(self, other): return self._with(F.try_divide, self, other)
-    def __rtruediv__(self, other): return self._with(F.try_divide, other, self)
-    def __neg__(self): return self._with(F.try_subtract, 0, self)
-    def __pos__(self): return self
+def _parsed(expression: str) -> ast.expr:
+    """The syntax tree of a formula: names, plain numbers, + - * / and parentheses only."""
+    refused = ValueError(f"unsupported_formula_expression: {expression}")
+    try:
+        tree = ast.parse(expression.strip(), mode="eval").body
+    except (SyntaxError, RecursionError, MemoryError) as error:
+        raise refused from error
+    for node in ast.walk(tree):
+        if isinstance(node, ast.Constant):
+            text = ast.get_source_segment(expression.strip(), node) or ""
+            if not re.fullmatch(r"(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d{1,4})?", text, re.ASCII):
+                raise refused
+            node.kind = text
+        elif isinstance(node, ast.Name):
+            if not node.id.isascii():
+                raise refused
+        elif not isinstance(node, (ast.BinOp, ast.UnaryOp, ast.Add, ast.Sub, ast.Mult, ast.Div, ast.UAdd, ast.USub, ast.Load)):
+            raise refused
+    return tree
 
 
 def formula_names(expression: str) -> set[str]:
-    """Columns of an arithmetic expression: names, numbers, + - * / and parentheses only."""
-    number, name = r"\d+(?:\.\d*)?(?:[eE][+-]?\d+)?|\.\d+", r"[A-Za-z_]\w*"
-    tokens = re.findall(rf"\s*({number}|{name}|\*\*|//|[-+*/()])", expression)
-    called = re.search(rf"({name}|\))\s*\(", expression)
-    refused = {"**", "//"} & set(tokens) or any(map(keyword.iskeyword, tokens)) or called or not tokens
-    if refused or "".join(tokens) != re.sub(r"\s", "", expression):
-        raise ValueError(f"unsupported_formula_expression: {expression}")
-    return {token for token in tokens if re.fullmatch(name, token)}
-
-
-def _formula_value(expression: str, columns: Mapping[str, Mapping]) -> Column:
-    operands = {}
-    for name in formula_names(expression):
-        if name not in columns:
-            raise ValueError(f"unknown_formula_column: {name}")
-        kind = INTEGER_OPERAND if columns[name]["type"] == "integer" else NUMBER_OPERAND
-        operands[name] = _Operand(_part(name, "text").try_cast(kind))
-    # The tokens were checked above, so this evaluates operators over columns and nothing else.
-    try:
-        return _Operand.of(eval(expression, {"__builtins__": {}}, operands)).column  # noqa: S307
-    except SyntaxError as error:
-        raise ValueError(f"unsupported_formula_expression: {expression}") from error
+    """The columns of a formula."""
+    return {node.id for node in ast.walk(_parsed(expression)) if isinstance(node, ast.Name)}
+
+
+def _constant(node: ast.expr) -> Decimal | None:
+    """The value of a formula without columns, None where a divisor is zero."""
+    if isinstance(node, ast.Constant):
+        return Decimal(node.kind)
+    if isinstance(node, ast.UnaryOp):
+        value = _constant(node.operand)
+        return -value if value is not None and isinstance(node.op, ast.USub) else value
+    left, right = _constant(node.left), _constant(node.right)
+    if left is None or right is None or (isinstance(node.op, ast.Div) and not right):
+        return None
+    steps = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv}
+    with localcontext() as context:
+        context.prec = 2 * exact.MOST
+        return steps[type(node.op)](left, right)
+
+
+def _formula_value(work: exact.Work, node: ast.expr, operands: Mapping[str, exact.Operand]) -> exact.Operand:
+    """The value of a formula, step by step; none where a divisor is zero."""
+    if not any(isinstance(part, ast.Name) for part in ast.walk(node)):
+        # Spark would unfold constant steps into one another before it folds them.
+        return work.constant(_constant(node))
+    if isinstance(node, ast.Name):
+        return operands[node.id]
+    if isinstance(node, ast.UnaryOp):
+        value = _formula_value(work, node.operand, operands)
+        return work.negative(value) if isinstance(node.op, ast.USub) else value
+    left, right = _formula_value(work, node.left, operands), _formula_value(work, node.right, operands)
+    steps = {ast.Add: work.plus, ast.Sub: work.minus, ast.Mult: work.times, ast.Div: work.over}
+    return steps[type(node.op)](left, right)
 
 
 CELL_CODES = ("null_not_allowed", "invalid_type", "not_allowed", "below_minimum", "above_maximum")
@@ -212,16 +201,7 @@ def row_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
 
     rules: dict[str, Column] = {}
     if set(RULE_CODES) & set(wanted):
-        for rule in contract.get("row_rules", []):
-            names = formula_names(rule["expression"]) | {rule["target"]}
-            value = _formula_value(rule["expression"], columns)
-            if names <= present:
-                rules[rule["name"]] = _rule_code(rule, names, value, wanted)
-        operands = sorted({
-            name for rule in contract.get("row_rules", []) for name in formula_names(rule["expression"]) | {rule["target"]}
-            if name in present
-        })
-        source = _staged(table, columns, operands, [F.col(row).alias("|row"), *[v.alias(n) for n, v in cells.items()]])
+        source, rules = _with_rules(source, contract, columns, row, wanted, cells)
         cells = {name: F.col(f"`{name}`") for name in cells}
     wide = source.select(
         F.col("|row").alias("row"), *[value.alias(name) for name, value in cells.items()],
@@ -236,6 +216,9 @@ def row_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
         "usable", ~is_rule & F.coalesce((F.col("text") != "") & _by_scope(
             checked, lambda column: _fits(F.col("text"), column)).cast("boolean"), F.lit(False)),
     )
+    # Reading a number digit by digit is slow, so only cells of bounded columns are read.
+    read = F.col("usable") & F.col("scope").isin(*_bounded(checked)) & F.lit(bool({"below_minimum", "above_maximum"} & set(wanted)))
+    typed = typed.withColumn("number", F.when(read, exact.number(F.col("text"))))
     tests = {code: test for code, test in _cell_findings(checked).items() if code in wanted}
     names = F.array(*[F.lit(code) for code in (*CELL_CODES, *RULE_CODES)])
     number = {code: place for place, code in enumerate((*CELL_CODES, *RULE_CODES), 1)}
@@ -252,15 +235,34 @@ def row_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
     ))
 
 
-def _rule_code(rule: Mapping, names: set[str], value: Column, wanted: Sequence[str]) -> Column:
-    """Finding of one formula rule, NULL when it holds or an input is blank or invalid."""
-    usable = reduce(lambda a, b: a & b, [_part(name, "usable") for name in sorted(names)])
-    tolerance = F.lit(Decimal(str(rule.get("tolerance", 0))))
-    difference = F.abs(_part(rule["target"], "text").try_cast(NUMBER_OPERAND) - value)
-    code = F.when(usable & difference.isNull(), "formula_evaluation_error").when(
-        usable & (difference > tolerance), "formula_mismatch"
-    )
-    return F.when(code.isin(*[name for name in RULE_CODES if name in wanted]), code)
+def _with_rules(
+    table: DataFrame, contract: Mapping, columns: Mapping[str, Mapping], row: str, wanted: Sequence[str], cells: Mapping[str, Column],
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The table's cells with one column per formula rule: the code of its finding, or NULL.
+
+    A rule with a column that the table lacks is not checked; one that names a column that the
+    contract lacks is refused.
+    """
+    rules = contract.get("row_rules", [])
+    trees = [_parsed(rule["expression"]) for rule in rules]
+    for rule in rules:
+        for name in sorted(formula_names(rule["expression"]) | {rule["target"]}):
+            if name not in columns:
+                raise ValueError(f"unknown_formula_column: {name}")
+    named = [formula_names(rule["expression"]) | {rule["target"]} for rule in rules]
+    complete = [(rule, tree, names) for rule, tree, names in zip(rules, trees, named) if names <= set(table.columns)]
+    used = sorted({name for _, _, names in complete for name in names})
+    work = exact.Work(_staged(table, columns, used, [F.col(row).alias("|row"), *[v.alias(n) for n, v in cells.items()]]))
+    operands = {name: work.read(F.when(_part(name, "usable"), _part(name, "text"))) for name in used}
+    codes: dict[str, Column] = {}
+    for rule, tree, names in complete:
+        gap = work.size(work.minus(operands[rule["target"]], _formula_value(work, tree, operands)))
+        usable = reduce(lambda a, b: a & b, [_part(name, "usable") for name in sorted(names)])
+        code = F.when(usable & gap.isNull(), "formula_evaluation_error").when(
+            usable & exact.below(exact.literal(rule.get("tolerance", 0)), gap), "formula_mismatch"
+        )
+        (codes[rule["name"]],) = work.keep(F.when(code.isin(*[name for name in RULE_CODES if name in wanted]), code))
+    return work.table, codes
 
 
 def _labelled(findings: DataFrame) -> DataFrame:
@@ -274,6 +276,9 @@ def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
     All key kinds share one grouping. Equal rows are counted, so of rows with an equal
     locator all but one of the first are found too. The first row of keys that occur more
     than once then meets the counted rows, of which a locator has one.
+
+    The counted rows are stored. A key with more than one part in HEAVY of all of them is dealt
+    over several tasks, and there are HEAVY such keys at most; all others meet by a plain join.
     """
     columns = {column["name"]: column for column in contract["columns"]}
     key_parts = contract["dataset"]["primary_key"]
@@ -301,15 +306,28 @@ def key_issues(table: DataFrame, contract: Mapping, row: str, codes: Sequence[st
         for code, scope, usable, key in kinds
     ]))).filter(F.col("key").isNotNull())
     by_key = ["code", "scope", "key"]
-    counted = keyed.groupBy(*by_key, "row").agg(F.count("*").alias("copies"))
-    repeated = counted.groupBy(*by_key).agg(F.min("row").alias("first_row"), F.sum("copies").alias("total")).filter(
-        "total > 1"
-    ).select(*by_key, "first_row")
-    met = counted.join(repeated, by_key)
+    return _labelled(_later_rows(keyed.groupBy(*by_key, "row").agg(F.count("*").alias("copies")), by_key))
+
+
+#: A key is dealt over tasks from one part in so many of all rows on.
+HEAVY = 1024
+
+
+def _later_rows(counted: DataFrame, by_key: list[str]) -> DataFrame:
+    """(code, scope, row) of all but the first row of each key, from rows (code, scope, key, row, copies)."""
+    counted = stored(counted, "keys")
+    repeated = counted.groupBy(*by_key).agg(F.min("row").alias("first_row"), F.sum("copies").alias("total"), F.count("*").alias("rows"))
+    repeated = stored(repeated.filter("total > 1").select(*by_key, "first_row", "rows"), "repeated-keys")
+    share = max(1, counted.count() // HEAVY)
+    repeated = repeated.withColumn("parts", F.ceil(F.col("rows") / share).cast("int"))
+    # HEAVY rows at most, since each has more than one in HEAVY of all rows.
+    heavy = F.broadcast(repeated.filter("parts > 1").select(*by_key, "parts"))
+    salted = counted.join(heavy, by_key, "left").withColumn("salt", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("row"), "parts").cast("int")).otherwise(0))
+    firsts = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = salted.join(firsts.select(*by_key, "salt", "first_row"), [*by_key, "salt"])
     extra = F.col("copies") - F.when(F.col("row") == F.col("first_row"), 1).otherwise(0)
     later = met.withColumn("n", extra.cast("int")).filter("n > 0")
-    found = later.select("code", "scope", "row", F.explode(F.array_repeat(F.lit(1), F.col("n"))))
-    return _labelled(found.select("code", "scope", "row"))
+    return later.select("code", "scope", "row", F.explode(F.array_repeat(F.lit(1), F.col("n")))).select("code", "scope", "row")
 
 
 def table_issues(table: DataFrame, contract: Mapping, row: str) -> DataFrame:

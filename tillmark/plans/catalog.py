@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as types_
 
+from tillmark.functions import exact
 from tillmark.functions import numbers as N
 from tillmark.functions import text as T
 from tillmark.functions.months import year_month
@@ -121,7 +122,7 @@ def guarded_table_write(spark, sf_dir):
     sinks.guarded_table_write(fact.limit(0), replaced)
     sinks.guarded_table_write(fact, replaced)
     sinks.guarded_table_write(measures.cancelled_lines(fact), replaced, replace=True)
-    count = lambda path, second: spark.read.parquet(path).agg(F.count("*").alias("row_count")).select(
+    count = lambda path, second: sinks.read_table(spark, path).agg(F.count("*").alias("row_count")).select(
         F.lit(second).alias("second_write"), "row_count")
     return count(kept, refused).unionByName(count(replaced, "replaced"))
 
@@ -130,7 +131,7 @@ def guarded_table_write(spark, sf_dir):
 def ingest_with_rejects(spark, sf_dir):
     path = scratch_path(spark, "load")
     sinks.write_load(_normalised(spark, sf_dir), path)
-    return normalise.load_summary(spark.read.parquet(path))
+    return normalise.load_summary(sinks.read_table(spark, path))
 
 
 @query
@@ -147,8 +148,12 @@ def extract_fingerprint(spark, sf_dir):
 def evidence_sink(spark, sf_dir):
     path = scratch_path(spark, "evidence")
     report_ = profile.anomaly_report(fx.sales_line(spark, sf_dir))
-    sinks.write_evidence(report_, path, "anomaly report")
-    return spark.read.schema(report_.schema).json(f"{path}/results")
+    blocking = ("duplicate_source_row_id", "required_field_missing", "cancellation_prefix_mismatch")
+    failed = report_.filter(F.col("check_name").isin(*blocking) & (F.col("observed_value") > 0))
+    sinks.write_evidence(report_, path, "anomaly report", failed)
+    results = spark.read.schema(report_.schema).json(f"{path}/results")
+    status = spark.read.json(f"{path}/summary", schema="name string, status string, result_count bigint")
+    return results.unionByName(status.select(F.concat_ws(": ", "name", "status").alias("check_name"), F.col("result_count").alias("observed_value")))
 
 
 @query
@@ -157,6 +162,27 @@ def append_sheets(spark, sf_dir):
     return rows.select("SourceRowId", "SourceSheet", "InvoiceNo", "UnitPrice", "CustomerID")
 
 
+@query
+def source_row_ids(spark, sf_dir):
+    """Every observed row of two sheets numbered on, loaded or rejected."""
+    rows = normalise.append_sheets(fx.raw_sales_sheets(spark, sf_dir), keep=[F.col("SourceRowId").alias("LineRef")], order=["SourceRowId"])
+    return normalise.normalise_lines(rows, keep=("SourceRowId", "SourceSheet", "LineRef")).select(
+        "SourceRowId", "SourceSheet", "LineRef", "InvoiceNo", "Quantity", "reject_code")
+
+
+@query
+def sheet_file_row_ids(spark, sf_dir):
+    """The same from sheets kept as files, in which descriptions hold line breaks."""
+    paths = {}
+    for name, sheet in fx.raw_sales_sheets(spark, sf_dir).items():
+        text = F.when(F.length("Description") % 4 == 0, F.concat("Description", F.lit('\n"'))).otherwise(F.col("Description"))
+        one = sheet.withColumns({"Description": text, "InvoiceDate": F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss")})
+        paths[name] = _stored_text(one.withColumnRenamed("SourceRowId", "LineRef"), "sheet", 4)
+    rows = normalise.append_sheet_files(spark, paths)
+    return normalise.normalise_lines(rows, keep=("SourceRowId", "SourceSheet")).select(
+        "SourceRowId", "SourceSheet", "InvoiceNo", "StockCode", F.length("Description").alias("description_length"), "UnitPrice", "reject_code")
+
+
 # ---- normalisation --------------------------------------------------------------
 
 @query
@@ -174,17 +200,17 @@ def clean_text(spark, sf_dir):
 
 @query
 def parse_quantity(spark, sf_dir):
-    number = N.parse_decimal(F.col("Quantity"))
-    return _mapped_raw(spark, sf_dir).select(
-        "SourceRowId", number.alias("quantity_read"), N.quantity_issue(number).alias("quantity_issue")
+    number = F.col("number")
+    return _mapped_raw(spark, sf_dir).withColumn("number", N.parse_number(F.col("Quantity"))).select(
+        "SourceRowId", exact.as_text(number).cast("double").alias("quantity_read"), N.quantity_issue(number).alias("quantity_issue")
     )
 
 
 @query
 def parse_unit_price(spark, sf_dir):
-    number = N.parse_decimal(F.col("UnitPrice"))
-    return _mapped_raw(spark, sf_dir).select(
-        "SourceRowId", N.rounded_price(number).alias("UnitPrice"), (number == 0).alias("ZeroPrice"),
+    number = F.col("number")
+    return _mapped_raw(spark, sf_dir).withColumn("number", N.parse_number(F.col("UnitPrice"))).select(
+        "SourceRowId", N.rounded_price(number).alias("UnitPrice"), (number["sign"] == 0).alias("ZeroPrice"),
         N.unit_price_issue(number).alias("price_issue"),
     )
 
@@ -440,7 +466,7 @@ def aux_metrics(spark, sf_dir):
 
 @query
 def contract_metrics(spark, sf_dir):
-    return metric_contract.contract_metrics(fx.contract_text(spark, sf_dir), METRIC_CONTRACT)
+    return metric_contract.contract_metrics(fx.contract_text(spark, sf_dir), METRIC_CONTRACT).select("metric_id", "actual", "issue")
 
 
 @query
@@ -471,7 +497,7 @@ def dim_country(spark, sf_dir):
 
 @query
 def table_profile(spark, sf_dir):
-    return profile.table_profile(fx.raw_sales_line(spark, sf_dir).drop("InvoiceDate")).drop("data_type")
+    return profile.table_profile(fx.raw_sales_line(spark, sf_dir))
 
 
 # ---- time comparison ------------------------------------------------------------
@@ -584,11 +610,45 @@ for _name, _build in {
     QUERIES[_name] = _build
 
 
+def _stored_text(table: DataFrame, name: str, files: int) -> str:
+    """A text table written as several files whose names and lines follow the order of LineRef."""
+    path = scratch_path(table.sparkSession, name)
+    ordered = table.repartitionByRange(files, "LineRef").sortWithinPartitions("LineRef")
+    ordered.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("lineSep", "\n").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
 @query
 def dq_missing_required_column(spark, sf_dir):
-    table = fx.contract_text(spark, sf_dir).drop("Country", "Description")
+    """Columns that the header of a written file lacks."""
+    path = _stored_text(fx.contract_text(spark, sf_dir).drop("Country", "Description"), "headless", 3)
     contract = {**CHECKED_CONTRACT, "expectations": {"min_rows": 1}}
-    return quality.table_issues(table, contract, "LineRef").select("code", "scope")
+    return quality.table_issues(delimited.scan_contract_csv(spark, path, row="row"), contract, "row").select("code", "scope")
+
+
+@query
+def dq_file_issue_list(spark, sf_dir):
+    """Findings in an extract of several files with line breaks in cells, named by the row of the text."""
+    table = fx.contract_text(spark, sf_dir)
+    broken = F.when(F.length("Description") % 3 == 0, F.concat(F.lit('say "'), "Description", F.lit('",\n\n"now"'))).otherwise(F.col("Description"))
+    path = _stored_text(table.withColumn("Description", broken), "extract", 5)
+    scanned = delimited.scan_contract_csv(spark, path, row="row")
+    return quality.issue_list(scanned, CHECKED_CONTRACT, "row").select("code", "scope", "row")
+
+
+@query
+def csv_read_errors(spark, sf_dir):
+    """Rows of a written extract that have a cell too many or too few."""
+    refs = fx.contract_text(spark, sf_dir).select("LineRef", "StockCode", "Country")
+    stock = F.col("StockCode").cast("int")
+    country = F.when(stock % 71 == 0, F.concat("Country", F.lit(",more"))).when(stock % 73 != 0, F.concat(F.lit('"a, ""'), "Country", F.lit('"""')))
+    line = F.concat_ws(",", "LineRef", "StockCode", country)
+    path = scratch_path(spark, "ragged")
+    ordered = refs.select("LineRef", line.alias("LineRef,StockCode,Country")).repartitionByRange("LineRef").sortWithinPartitions("LineRef").drop("LineRef")
+    # A delimiter and a quote that no line holds leave the lines as they are.
+    ordered.write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(path)
+    return delimited.csv_read_errors(spark, path).select("code", "row", "problem")
 
 
 @query
@@ -609,6 +669,29 @@ def dq_issue_list(spark, sf_dir):
     )
 
 
+WIDE_CONTRACT = {
+    "dataset": {"primary_key": ["LineRef"]},
+    "columns": [
+        {"name": "LineRef", "type": "string"},
+        {"name": "Serial", "type": "integer", "min": -(10**39) - 3 * 10**35, "max": 10**39 + 3 * 10**35},
+        {"name": "Share", "type": "number", "min": "0.5000000000000000000000000000000000010", "max": "0.9"},
+        {"name": "Units", "type": "integer"}, {"name": "Rate", "type": "number"}, {"name": "Amount", "type": "number"},
+    ],
+    "row_rules": [
+        {"name": "amount", "type": "formula", "target": "Amount", "expression": "Units * Rate", "tolerance": "0.0000002"},
+        {"name": "no_value", "type": "formula", "target": "Units", "expression": "1 / (Units - Units)", "tolerance": 0},
+        {"name": "constants", "type": "formula", "target": "Units", "expression": "Units + (0.1 * 3 - 0.3) * 1e25", "tolerance": 0},
+    ],
+}
+
+
+@query
+def dq_long_numbers(spark, sf_dir):
+    """Bounds of 40 digits, operands of 14 digits and differences in the seventh decimal."""
+    found = quality.row_issues(fx.long_number_text(spark, sf_dir), WIDE_CONTRACT, "LineRef")
+    return found.select("code", "scope", "row")
+
+
 @query
 def dq_issue_counts(spark, sf_dir):
     return quality.issue_counts(quality.issue_list(fx.contract_text(spark, sf_dir), CHECKED_CONTRACT, "LineRef"))
@@ -650,7 +733,7 @@ def date_range_guard(spark, sf_dir):
 
 def _measure_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     slices = measures.measures_all_slices(fx.sales_line(spark, sf_dir))
-    return measures.long_measures(slices, ["slice_id", "slice_value"])
+    return measures.long_measures(slices, ["slice_id", "slice_value"], value_type=reconcile.VALUE)
 
 
 def _other_engine(values: DataFrame) -> DataFrame:
@@ -668,9 +751,7 @@ def _other_engine(values: DataFrame) -> DataFrame:
 @query
 def reconcile_join(spark, sf_dir):
     values = _measure_set(spark, sf_dir)
-    joined = reconcile.reconcile_join(values, _other_engine(values))
-    return joined.select("slice_id", "slice_value", "metric_id", "in_left", "in_right",
-                         F.col("left_value").isNull().alias("left_null"), F.col("right_value").isNull().alias("right_null"))
+    return reconcile.reconcile_join(values, _other_engine(values))
 
 
 @query

@@ -67,6 +67,15 @@ read AS (
       ELSE coalesce(quantity_issue, price_issue) END AS reject_code
   FROM r)"""
 
+SHEET_ROWS = """
+sheet_rows AS (
+  SELECT * EXCLUDE (SourceRowId), SourceRowId AS LineRef, CASE WHEN InvoiceDate < DATE '1998-01-01' THEN 'Before 1998' ELSE 'From 1998' END AS SourceSheet,
+    row_number() OVER (ORDER BY InvoiceDate >= DATE '1998-01-01', SourceRowId) AS row_id
+  FROM read)"""
+
+LONG_NUMBERS = """
+long_numbers AS (SELECT ref AS LineRef, l_orderkey AS k, l_partkey AS p FROM order_lines)"""
+
 CONTRACT_TEXT = """
 text_rows AS (
   SELECT ref AS LineRef,
@@ -123,8 +132,10 @@ REPORTED = (
     "average_order_value", "cancellation_rate", "sales_mom_pct", "sales_yoy_pct",
 )
 
+# The sums as decimals; through text, a ratio becomes the decimal that it shows.
+EXACT_SLICES = SLICES.replace(MEASURES, MEASURES.replace("0)::DOUBLE AS", "0) AS"))
 LONG = "long AS (" + " UNION ALL ".join(
-    f"SELECT slice_id, slice_value, '{name}' AS metric_id, {name}::DOUBLE AS value FROM slices" for name in REPORTED
+    f"SELECT slice_id, slice_value, '{name}' AS metric_id, CAST(CAST({name} AS VARCHAR) AS DECIMAL(28,10)) AS value FROM slices" for name in REPORTED
 ) + ")"
 
 COMPARED = """
@@ -326,7 +337,7 @@ SELECT m.*, (cur - prev)::DOUBLE / nullif(prev, 0)::DOUBLE AS sales_mom_pct,
   (cur - old)::DOUBLE / nullif(old, 0)::DOUBLE AS sales_yoy_pct FROM m, c"""
 
 PROFILE_COLUMNS = {"SourceRowId": "SourceRowId", "Invoice": "InvoiceNo", "StockCode": "StockCode",
-                   "Description": "Description", "Quantity": "Quantity", "Price": "UnitPrice",
+                   "Description": "Description", "Quantity": "Quantity", "InvoiceDate": "CAST(InvoiceDate AS VARCHAR)", "Price": "UnitPrice",
                    "Customer ID": "CustomerID", "Country": "Country"}
 
 NATION = "('NATION_2', 'NATION_7')"
@@ -349,13 +360,21 @@ ORACLES: dict[str, str] = {
         + " FROM hashed) SELECT count(*) AS row_count, 13::BIGINT AS column_count, concat_ws('.', "
         + ", ".join(f"CAST(sum(w{i}) AS VARCHAR)" for i in range(5)) + ") AS digest_sum, concat_ws('.', "
         + ", ".join(f"CAST(bit_xor(w{i}) AS VARCHAR)" for i in range(5)) + ") AS digest_xor FROM words",
-    "evidence_sink": f"{S} SELECT 'source_row_count' AS check_name, count(*) AS observed_value FROM sales "
-        "UNION ALL SELECT 'duplicate_source_row_id', count(*) FROM (SELECT 1 FROM sales GROUP BY SourceRowId HAVING count(*) > 1) "
-        "UNION ALL SELECT 'required_field_missing', 0 UNION ALL SELECT 'zero_price_line', count(*) FROM sales WHERE ZeroPrice "
-        "UNION ALL SELECT 'unknown_customer_line', count(*) FROM sales WHERE UnknownCustomer "
-        "UNION ALL SELECT 'cancellation_prefix_mismatch', 0",
+    "evidence_sink": f"{S}, checks(check_name, observed_value) AS (SELECT 'source_row_count', count(*) FROM sales UNION ALL "
+        "SELECT 'duplicate_source_row_id', count(*) FROM (SELECT 1 FROM sales GROUP BY SourceRowId HAVING count(*) > 1) "
+        "UNION ALL SELECT 'required_field_missing', count(*) FROM sales WHERE coalesce(trim(InvoiceNo), '') = '' OR coalesce(trim(Country), '') = '' "
+        "OR coalesce(trim(StockCode), '') = '' OR Quantity IS NULL OR InvoiceDate IS NULL OR UnitPrice IS NULL "
+        "UNION ALL SELECT 'zero_price_line', count(*) FROM sales WHERE ZeroPrice UNION ALL SELECT 'unknown_customer_line', count(*) FROM sales "
+        "WHERE UnknownCustomer UNION ALL SELECT 'cancellation_prefix_mismatch', count(*) FROM sales WHERE (InvoiceNo LIKE 'C%') <> IsCancellation) "
+        "SELECT * FROM checks UNION ALL SELECT 'anomaly report: ' || CASE WHEN sum(observed_value) FILTER (WHERE check_name IN "
+        "('duplicate_source_row_id', 'required_field_missing', 'cancellation_prefix_mismatch')) > 0 THEN 'failed' ELSE 'passed' END, count(*) FROM checks",
     "append_sheets": f"{_with(ORDER_LINES, RAW)} SELECT SourceRowId, CASE WHEN InvoiceDate < DATE '1998-01-01' THEN 'Before 1998' "
         "ELSE 'From 1998' END AS SourceSheet, InvoiceNo, UnitPrice, CustomerID FROM raw",
+    "source_row_ids": f"{_with(ORDER_LINES, RAW, READ, SHEET_ROWS)} SELECT row_id AS SourceRowId, SourceSheet, LineRef, InvoiceNo, "
+        "CASE WHEN quantity_issue IS NULL THEN q::BIGINT END AS Quantity, reject_code FROM sheet_rows",
+    "sheet_file_row_ids": f"{_with(ORDER_LINES, RAW, READ, SHEET_ROWS)} SELECT row_id AS SourceRowId, SourceSheet, InvoiceNo, StockCode, "
+        "(length(Description) + CASE WHEN length(Description) % 4 = 0 THEN 2 ELSE 0 END)::INT AS description_length, "
+        "cents / 100.0::DOUBLE AS UnitPrice, reject_code FROM sheet_rows",
     # normalisation
     "map_source_columns": f"{_with(ORDER_LINES, RAW)} SELECT * FROM raw",
     "clean_text": f"{_with(ORDER_LINES, RAW)} SELECT SourceRowId, trim(StockCode) AS StockCode, "
@@ -443,7 +462,8 @@ ORACLES: dict[str, str] = {
         "bool_or(UnknownCustomer) AS IsUnknownCustomer FROM sales GROUP BY 1",
     "dim_country": f"{S} SELECT DISTINCT Country FROM sales",
     "table_profile": f"{_with(ORDER_LINES, RAW)} " + " UNION ALL ".join(
-        f"SELECT '{name}' AS column_name, count(*) AS row_count, count(*) - count({source}) AS null_count, "
+        f"SELECT '{name}' AS column_name, '{'timestamp_ntz' if name == 'InvoiceDate' else 'string'}' AS data_type, count(*) AS row_count, "
+        f"count(*) - count({source}) AS null_count, count(DISTINCT {source}) AS distinct_count, "
         f"min(length({source}))::INT AS min_length, max(length({source}))::INT AS max_length FROM raw"
         for name, source in PROFILE_COLUMNS.items()),
     # time comparison
@@ -495,6 +515,15 @@ c_C AS (SELECT {MEASURES} FROM sales WHERE ym IN ('1996-11', '1996-12')) """
     "dq_duplicate_primary_key": _only("duplicate_primary_key"),
     "dq_duplicate_unique_value": _only("duplicate_unique_value"),
     "dq_missing_required_column": "SELECT 'missing_required_column' AS code, scope FROM (VALUES ('Country'), ('Channel')) AS t(scope)",
+    "dq_file_issue_list": f"{ISSUES}, numbered AS (SELECT LineRef, row_number() OVER (ORDER BY LineRef) + 1 AS n FROM text_rows) "
+        "SELECT code, scope, n AS row FROM issues LEFT JOIN numbered ON LineRef = row",
+    "csv_read_errors": f"{TEXT}, numbered AS (SELECT CAST(StockCode AS INT) AS p, row_number() OVER (ORDER BY LineRef) + 1 AS n FROM text_rows) "
+        "SELECT 'ragged_row' AS code, n AS row, CASE WHEN p % 71 = 0 THEN 'too_many_cells' ELSE 'too_few_cells' END AS problem FROM numbered WHERE p % 71 = 0 OR p % 73 = 0",
+    "dq_long_numbers": f"{_with(ORDER_LINES, LONG_NUMBERS)} SELECT 'above_maximum' AS code, 'Serial' AS scope, LineRef AS row FROM long_numbers "
+        "WHERE k % 2 = 1 AND (k > 3000 OR (k = 3000 AND p > 0)) UNION ALL SELECT 'below_minimum', 'Serial', LineRef FROM long_numbers "
+        "WHERE k % 2 = 0 AND (k > 3000 OR (k = 3000 AND p > 0)) UNION ALL SELECT 'below_minimum', 'Share', LineRef FROM long_numbers WHERE p % 30 < 10 "
+        "UNION ALL SELECT 'formula_mismatch', 'amount', LineRef FROM long_numbers WHERE k % 17 = 0 "
+        "UNION ALL SELECT 'formula_evaluation_error', 'no_value', LineRef FROM long_numbers",
     "dq_row_count_bounds": "SELECT 'above_maximum_rows' AS code, 'expectations.max_rows' AS scope FROM (SELECT count(*) AS n FROM lineitem) "
         "WHERE n > 5000 UNION ALL SELECT 'below_minimum_rows', 'expectations.min_rows'",
     "dq_issue_list": f"{ISSUES} SELECT code, scope, row FROM issues",
@@ -514,20 +543,20 @@ c_C AS (SELECT {MEASURES} FROM sales WHERE ym IN ('1996-11', '1996-12')) """
     "date_range_guard": f"{S} SELECT SourceRowId, InvoiceDate FROM sales WHERE CAST(InvoiceDate AS DATE) < DATE '1995-03-01' "
         "OR CAST(InvoiceDate AS DATE) > DATE '2001-06-30'",
     # reconciliation
-    "reconcile_join": f"{S},{SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, true AS in_left, in_right, "
-        "v IS NULL AS left_null, w IS NULL AS right_null FROM compared",
-    "reconcile_metrics": f"{S},{SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, difference::DOUBLE AS difference, "
+    "reconcile_join": f"{S},{EXACT_SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, true AS in_left, in_right, "
+        "v::DOUBLE AS left_value, w::DOUBLE AS right_value FROM compared",
+    "reconcile_metrics": f"{S},{EXACT_SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, difference::DOUBLE AS difference, "
         f"tolerance::DOUBLE AS tolerance, {_status('tolerance')} AS status FROM compared",
-    "reconcile_slices": f"{S},{SLICES},{LONG},{COMPARED}, judged AS (SELECT *, {_status('tolerance')} IN ('passed', 'both-null') AS good FROM compared) "
+    "reconcile_slices": f"{S},{EXACT_SLICES},{LONG},{COMPARED}, judged AS (SELECT *, {_status('tolerance')} IN ('passed', 'both-null') AS good FROM compared) "
         "SELECT slice_id, slice_value, count(*) AS metric_count, count(*) FILTER (WHERE NOT good) AS failed_count, "
         "CASE WHEN bool_and(good) THEN 'passed' ELSE 'failed' END AS status FROM judged GROUP BY 1, 2",
-    "reconciliation_gate": f"{S},{SLICES},{LONG},{COMPARED}, bad AS (SELECT slice_id, slice_value, metric_id FROM compared "
+    "reconciliation_gate": f"{S},{EXACT_SLICES},{LONG},{COMPARED}, bad AS (SELECT slice_id, slice_value, metric_id FROM compared "
         f"WHERE {_status('tolerance')} NOT IN ('passed', 'both-null')) "
         "SELECT slice_id, slice_value, metric_id, 'baseline_metric_failed' AS code FROM bad "
         "UNION ALL SELECT slice_id, slice_value, 'profit', 'baseline_metric_failed' FROM slices "
         "UNION ALL SELECT DISTINCT slice_id, slice_value, NULL, 'baseline_slice_failed' FROM bad "
         "UNION ALL SELECT NULL, NULL, NULL, 'baseline_reconciliation_failed' WHERE EXISTS (SELECT 1 FROM bad)",
-    "measure_vs_baseline": f"{S},{SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, difference::DOUBLE AS difference, "
+    "measure_vs_baseline": f"{S},{EXACT_SLICES},{LONG},{COMPARED} SELECT slice_id, slice_value, metric_id, difference::DOUBLE AS difference, "
         f"{_status('0.0001')} AS status FROM compared",
     "rls_scenario_check": f"{S},{BRIDGE}, base AS (SELECT Country, sum(LineAmount) AS net FROM sales GROUP BY 1) "
         "SELECT UserPrincipalName, expected_country, visible_country_count, visible_countries, net::DOUBLE AS expected_net_sales, "

@@ -157,6 +157,21 @@ def contract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract text whose numbers pass the width of a decimal or double, with defects by modulus rules."""
+    key, part = F.col("l_orderkey"), F.col("l_partkey")
+    negative = F.when(key % 2 == 0, "-").otherwise("")
+    serial = F.concat(negative, F.lit("1"), F.lpad(key.cast("string"), 7, "0"), F.lpad(part.cast("string"), 32, "0"))
+    units = (F.lit(10_000_000_000_000).cast("decimal(20,0)") + part).cast("decimal(20,0)")
+    rate = (F.col("l_linenumber").cast("decimal(10,7)") + F.lit("0.1234567").cast("decimal(10,7)")).cast("decimal(10,7)")
+    off = F.when(key % 17 == 0, "0.0000003").when(key % 17 == 1, "0.0000002").otherwise("0").cast("decimal(10,7)")
+    return order_lines(spark, sf_dir).select(
+        line_ref().alias("LineRef"), serial.alias("Serial"),
+        F.concat(F.lit("0.50000000000000000000000000000000000"), F.lpad((part % 30).cast("string"), 2, "0"), F.repeat(F.lit("0"), (key % 5).cast("int"))).alias("Share"),
+        units.cast("string").alias("Units"), rate.cast("string").alias("Rate"), (units * rate + off).cast("decimal(38,7)").cast("string").alias("Amount"),
+    )
+
+
 def security_bridge(spark: SparkSession) -> DataFrame:
     """User-to-country grants for the simulated roles."""
     return spark.sql("""

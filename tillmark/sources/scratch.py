@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -24,6 +24,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written below the scratch folder and read back."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Removes a path that ``scratch_path`` gave, or a folder below one; what is gone already is no error."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

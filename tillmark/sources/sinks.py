@@ -8,11 +8,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.sources.versions import current_version, write_version
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that :func:`guarded_table_write` wrote."""
+    folder = current_version(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"table_not_found: {path}")
+    return spark.read.parquet(folder)
+
 
 def holds_rows(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table exists at the path and has any row."""
+    """Whether a table exists at the path and has any row."""
     try:
-        return not spark.read.parquet(path).isEmpty()
+        return not read_table(spark, path).isEmpty()
+    except FileNotFoundError:
+        return False
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
@@ -20,11 +32,15 @@ def holds_rows(spark: SparkSession, path: str) -> bool:
 
 
 def guarded_table_write(table: DataFrame, path: str, replace: bool = False, partition_by: tuple[str, ...] = ()) -> None:
-    """Write a table; one that already holds rows is replaced only on request."""
-    if not replace and holds_rows(table.sparkSession, path):
+    """Write a table; one that already holds rows is replaced only on request, and then in one step.
+
+    ``table`` may read the version that it replaces.
+    """
+    spark = table.sparkSession
+    if not replace and holds_rows(spark, path):
         raise ValueError("raw_table_not_empty_use_replace")
-    writer = table.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    writer = table.write.partitionBy(*partition_by) if partition_by else table.write
+    write_version(spark, path, writer.parquet)
 
 
 def write_load(normalised: DataFrame, path: str, replace: bool = False) -> None:
@@ -35,7 +51,7 @@ def write_load(normalised: DataFrame, path: str, replace: bool = False) -> None:
 
 def read_load(spark: SparkSession, path: str, status: str) -> DataFrame:
     """Loaded or rejected rows of a written load; only that partition is read."""
-    return spark.read.parquet(path).filter(F.col("load_status") == status).drop("load_status")
+    return read_table(spark, path).filter(F.col("load_status") == status).drop("load_status")
 
 
 def write_evidence(results: DataFrame, path: str, name: str, failed: DataFrame | None = None) -> None:
