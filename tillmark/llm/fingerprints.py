@@ -3,23 +3,29 @@
 A lexicon holds the terms whose inverse document frequency lies in a band: neither the
 rare ones, which any edit changes, nor the common ones, which tell documents apart badly.
 A fingerprint hashes the sorted distinct terms that a document has in each of several
-random subsets of the lexicon. Dense subsets tell near copies apart; thin ones survive
-larger edits, so the share of equal hashes follows the share of common terms.
-
-All of it is DataFrame functions. At most ``distinct terms of an average document / LOW``
-terms have a document frequency of ``LOW`` of all documents or more, whatever their
-number, so the lexicon is bounded; the driver reads it and every task holds it as one literal.
+random subsets of the lexicon. Dense subsets tell near copies apart; thin ones, of which a
+document has about one term, survive larger edits, so the share of equal hashes follows the
+share of common terms.
+
+All of it is DataFrame functions. Distinct terms of all texts meet the lexicon in a join; a
+lexicon term brings the subsets that it belongs to as bits of one number. At most ``distinct terms of
+an average document / LOW`` terms have a document frequency of ``LOW`` of all documents or
+more, whatever their number, so Spark can broadcast the lexicon by its measured size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillmark.sources.scratch import stored
+
 #: The band: terms in this share of all documents.
 LOW, HIGH = 0.01, 0.10
-#: Random draws of subsets; of each, subsets of a half, a quarter, ... of the lexicon.
-DRAWS, LEVELS = 4, 5
+#: Random draws of subsets; of each, subsets of a half, a quarter, ... of the lexicon. At most 63 in all.
+DRAWS, LEVELS = 6, 8
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -28,36 +34,33 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), WHITE)), "")
 
 
+def _bit(draw: int, level: int) -> int:
+    return 1 << (draw * LEVELS + level)
+
+
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row: ``terms``, the sorted terms whose document frequency lies in the band."""
+    """(term, code, subsets): the terms whose document frequency lies in the band, a hash of each, and the
+    bits of the subsets that it is in. A draw's subsets lie in one another."""
     per_doc = docs.select(F.explode(terms(F.col("text"))).alias("term"))
     counted = per_doc.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.count()
     in_band = (F.col("df") >= max(1.0, n * low)) & (F.col("df") <= max(2.0, n * high))
-    return counted.where(in_band).agg(F.array_sort(F.collect_list("term")).alias("terms"))
-
+    drawn = counted.where(in_band).select("term", F.xxhash64("term").alias("code"), *[F.xxhash64("term", F.lit(draw)).alias(f"d{draw}") for draw in range(DRAWS)])
+    bits = [
+        F.when(F.col(f"d{draw}").bitwiseAND(F.lit((2 << level) - 1)) == 0, F.lit(_bit(draw, level))).otherwise(F.lit(0)).cast("long")
+        for draw in range(DRAWS) for level in range(LEVELS)
+    ]
+    return drawn.select("term", "code", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("subsets"))
 
-def subset_hashes(text: Column, words: Column) -> Column:
-    """A hash of the text's terms in each subset, null where it has none there.
-
-    A text without terms of the lexicon gets one hash of all its terms instead.
-    """
-    known = F.array_intersect(words, terms(text))
 
-    def thinned(kept: Column, draw: int, level: int) -> Column:
-        return F.filter(kept, lambda term: F.shiftright(F.xxhash64(term, F.lit(draw)), level).bitwiseAND(F.lit(1)) == 0)
+def subset_hashes(known: Column) -> Column:
+    """A hash of the sorted terms (code, subsets) in each subset, null where there is none."""
+    def folded(subset: Column) -> Column:
+        start = F.xxhash64(subset)
+        inside = lambda x: F.getbit(x["subsets"], subset.cast("int")) == 1
+        return F.nullif(F.aggregate(known, start, lambda hash_, x: F.when(inside(x), F.xxhash64(hash_, x["code"])).otherwise(hash_)), start)
 
-    def hashes(known: Column) -> Column:
-        found = []
-        for draw in range(DRAWS):
-            kept = known
-            for level in range(LEVELS):
-                kept = thinned(kept, draw, level)
-                found.append(F.when(F.size(kept) > 0, F.xxhash64(kept, F.lit(draw * LEVELS + level))))
-        return F.array(*found)
-
-    everything = F.array(F.xxhash64(F.array_sort(terms(text)), F.lit(-1)))
-    return F.when(F.size(known) > 0, hashes(known)).otherwise(everything)
+    return F.transform(F.sequence(F.lit(0), F.lit(DRAWS * LEVELS - 1)), folded)
 
 
 def as_text(hashes: Column) -> Column:
@@ -66,10 +69,9 @@ def as_text(hashes: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of equal hashes among the subsets where either text has terms, 0 to 1."""
-    both = F.arrays_zip(a.alias("a"), b.alias("b"))
-    used = F.filter(both, lambda x: x["a"].isNotNull() | x["b"].isNotNull())
-    same = F.size(F.filter(used, lambda x: x["a"] == x["b"]))
-    return F.when(F.size(a) != F.size(b), F.lit(0.0)).when(F.size(used) == 0, F.lit(1.0)).otherwise(same / F.size(used))
+    both = F.zip_with(a, b, lambda x, y: F.when(x.isNull() & y.isNull(), F.lit(None)).otherwise(F.coalesce(x == y, F.lit(False)).cast("int")))
+    used, same = F.size(F.array_compact(both)), F.aggregate(F.array_compact(both), F.lit(0), lambda n, x: n + x)
+    return F.when(F.size(a) != F.size(b), F.lit(0.0)).when(used == 0, F.lit(1.0)).otherwise(same / used)
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -104,6 +106,26 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     return led.where("guest = 0").drop("guest", "place")
 
 
+def hashed(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(row, kind, about, hashes) of texts (row, kind, text, about); ``words`` is the lexicon.
+
+    A text without terms of the lexicon gets one hash of all its terms instead. What is
+    known about a text rides along with its terms as an entry without a term, so that each
+    text is read once.
+    """
+    every = terms(F.col("text"))
+    entries = texts.select("row", "kind", every.alias("terms"), F.struct("about", F.xxhash64(F.array_sort(every), F.lit(-1)).alias("everything")).alias("about"))
+    plain = F.transform("terms", lambda term: F.struct(term.alias("term"), F.lit(None).cast(entries.schema["about"].dataType).alias("about")))
+    own = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("about").alias("about")))
+    long = entries.select("row", "kind", F.inline(F.concat(own, plain)))
+    met = long.join(words, "term", "left").where("about IS NOT NULL OR code IS NOT NULL")
+    grouped = met.groupBy("row", "kind").agg(
+        F.first("about", ignorenulls=True).alias("about"), F.sort_array(F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "subsets")))).alias("known"),
+    )
+    hashes = F.when(F.size("known") > 0, subset_hashes(F.col("known"))).otherwise(F.array("about.everything"))
+    return grouped.select("row", "kind", F.col("about.about").alias("about"), hashes.alias("hashes"))
+
+
 def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and how alike they are.
 
@@ -113,17 +135,24 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     of ``docs`` are not read.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = lexicon(texts, low, high).first().terms
-    words = F.lit(found) if found else F.array().cast("array<string>")
-    marked = texts.withColumn("hashes", subset_hashes(F.col("text"), words))
-    led = with_next(marked, ["text", "hashes"])
+    words = stored(lexicon(texts, low, high), "lexicon")
+    # The number of a row stays the same whenever the files are read again.
+    led = with_next(texts.withColumn("row", F.monotonically_increasing_id()), ["text", "row"])
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = led.withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
-    ).select("doc_id", "n_chars", "hashes", "next_hashes", "edited")
-    edited = edited.withColumn("edited_hashes", subset_hashes(F.col("edited"), words))
-    return edited.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+    )
+    facts = F.struct("doc_id", "n_chars", "next_row", F.sha2("edited", 256).alias("edited_sha256"))
+    none = F.lit(None).cast("struct<doc_id:bigint,n_chars:bigint,next_row:bigint,edited_sha256:string>")
+    both = edited.select("row", F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("text").alias("text"), facts.alias("about")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"), none.alias("about")),
+    )))
+    found = stored(hashed(both, words), "fingerprints")
+    own = found.where("kind = 0").select("row", "about.*", "hashes")
+    other = found.where("kind = 1").select("row", F.col("hashes").alias("edited_hashes"))
+    after = found.where("kind = 0").select(F.col("row").alias("next_row"), F.col("hashes").alias("next_hashes"))
+    return own.join(other, "row").join(after, "next_row").select(
+        "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("hashes")).alias("fingerprint"), as_text(F.col("edited_hashes")).alias("edited_fingerprint"),
         likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
         likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
