@@ -11,7 +11,7 @@ def brute(rows):
     listed = []
     for at, (doc_id, text) in enumerate(rows):
         for number, line in enumerate((text or "").split("\n")):
-            if len(line.split()) >= line_dedup.LEAST_WORDS:
+            if line.split():
                 listed.append(((doc_id is None, doc_id or 0, at, number), at, number, shingle_set(line)))
     gone = {(a[1], a[2]) for a in listed for b in listed if b[0] < a[0] and 100 * len(a[3] & b[3]) >= 80 * len(a[3] | b[3])}
     out = []

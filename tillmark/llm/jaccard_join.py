@@ -11,7 +11,7 @@ of each set and as many links as connect its groups.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from functools import partial
 
 import numpy as np
@@ -20,23 +20,26 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import set_join
 from tillmark.llm.blocks import Block, store_blocks, stored
-from tillmark.llm.set_join import Index, least_overlap, linked, shingles, word_hashes
+from tillmark.llm.set_join import Index, least_overlap, linked, token_sets
 
 #: Weight of the list lengths in the choice of the number of long lists.
 MU = 0.05
 
 
-def documents(block: Block) -> Iterator[tuple[int, int, np.ndarray]]:
-    for place, text in enumerate(block.texts()):
-        yield place, 0, shingles(word_hashes(text))
+def documents(block: Block, only: Container | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+    places = [place for place in range(len(block)) if only is None or (place, 0) in only]
+    tokens, starts = token_sets([block.data[block.starts[place] : block.starts[place + 1]] for place in places])
+    for i, place in enumerate(places):
+        yield place, 0, tokens[starts[i] : starts[i + 1]]
 
 
-def links(left: list[tuple], right: list[tuple] | None, counted: bool = True) -> Iterator[tuple[int, int, int]]:
+def links(leader: int, left: list[tuple], right: list[tuple] | None, counted: bool = True) -> Iterator[tuple[int, int, int]]:
     """Links (a, b, 0) that connect all sets that are linked, inside ``left`` or between it and
     ``right``, and the documents (a, a, n) that each set is linked with.
 
-    The second value of a set is its number of documents. Without ``counted`` links that
-    cannot change the groups need no probe, and only links come out.
+    The second value of a set is its number of documents. A link counts around the first leader
+    that both have in common. Without ``counted`` links that cannot change the groups need no
+    probe, and only links come out.
     """
     index = Index(left)
     queries = left if right is None else right
@@ -56,7 +59,7 @@ def links(left: list[tuple], right: list[tuple] | None, counted: bool = True) ->
         owners = [index.owners[i:j] for i, j in zip(low.tolist(), high.tolist()) if j > i]
         return np.bincount(np.concatenate([*owners, np.zeros(0, np.int64)]), minlength=len(left))
 
-    for q, (node, own_copies, n, tokens) in enumerate(queries):
+    for q, (node, own_copies, n, tokens, leaders) in enumerate(queries):
         own = q if right is None else len(left) + q
         low, high = index.lists(tokens)
         size = high - low
@@ -82,8 +85,11 @@ def links(left: list[tuple], right: list[tuple] | None, counted: bool = True) ->
                 having = left[c][3]
                 seen[k] += (having[np.minimum(np.searchsorted(having, rest), len(having) - 1)] == rest).sum()
         partners = sets[linked(seen, n, lengths[sets])]
-        total[partners] += own_copies
-        total[own] += copies[partners].sum()
+        if counted:
+            earlier = {at for at in leaders if at < leader}
+            new = partners if not earlier else np.array([c for c in partners.tolist() if earlier.isdisjoint(left[c][4])], np.int64)
+            total[new] += own_copies
+            total[own] += copies[new].sum()
         for c in partners.tolist():
             if find(c) != find(own):
                 root[find(own)] = find(c)

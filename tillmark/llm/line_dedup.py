@@ -15,7 +15,7 @@ Jaccard similarity is verified.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,18 +23,21 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import set_join
 from tillmark.llm.blocks import Block, over_blocks, store_blocks, stored
-from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, shingles, word_hashes
+from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, token_sets
 
-#: Lines without a word have no tokens to compare.
-LEAST_WORDS = 1
-
-
-def lines(block: Block) -> Iterator[tuple[int, int, np.ndarray]]:
+def lines(block: Block, only: Container | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The lines with a word; others have no tokens to compare."""
+    at, texts = [], []
     for place, text in enumerate(block.texts()):
         for number, line in enumerate(text.split(b"\n")):
-            words = word_hashes(line)
-            if len(words) >= LEAST_WORDS:
-                yield place, number, shingles(words)
+            if only is None or (place, number) in only:
+                at.append((place, number))
+                texts.append(line)
+    tokens, starts = token_sets(texts)
+    bounds = starts.tolist()
+    for (place, number), low, high in zip(at, bounds[:-1], bounds[1:]):
+        if high > low:
+            yield place, number, tokens[low:high]
 
 
 def pair_overlap(n: int, m: int) -> int:
@@ -42,19 +45,19 @@ def pair_overlap(n: int, m: int) -> int:
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
-def later_of_similar(left: list[tuple], right: list[tuple] | None) -> Iterator[tuple[int]]:
+def later_of_similar(leader: int, left: list[tuple], right: list[tuple] | None) -> Iterator[tuple[int]]:
     """Nodes whose first line comes after the first line of a similar node."""
     sets = left if right is None else left + right
     index = Index(sets)
     gone: set[int] = set()
     lists: dict[int, list[tuple[int, int]]] = defaultdict(list)
     ordered = []
-    for _, _, n, tokens in sets:
+    for _, _, n, tokens, _ in sets:
         low, high = index.lists(tokens)
         ordered.append(tokens[np.lexsort((tokens, high - low))])
     # Short sets first, so that an indexed set is never longer than the query.
     for q in sorted(range(len(sets)), key=lambda k: (sets[k][2], sets[k][0])):
-        node, first, n, tokens = sets[q]
+        node, first, n, tokens, _ = sets[q]
         front = ordered[q][: n - least_overlap(n) + 1].tolist()
         met: dict[int, bool] = {}
         for i, token in enumerate(front):
@@ -66,7 +69,7 @@ def later_of_similar(left: list[tuple], right: list[tuple] | None) -> Iterator[t
                 met[c] = 1 + min(n - i - 1, m - j - 1) >= pair_overlap(n, m)
             lists[token].append((q, i))
         for c, possible in met.items():
-            other, earlier, m, having = sets[c]
+            other, earlier, m, having, _ = sets[c]
             late = node if (first, node) > (earlier, other) else other
             if not possible or late in gone or (right is not None and (c < len(left)) == (q < len(left))):
                 continue

@@ -5,11 +5,12 @@
    ``n - T + slack`` are also among those its partner sends (T is the least overlap). Items
    with fewer repeated tokens have no partner; only the others go on.
 2. Equal sets become one node.
-3. A second census over the nodes gives each of their first ``n - T + 1`` tokens its smallest
-   node. Two nodes with the needed overlap share one such token, so they fall into one
-   component of these links. Components only bring together what must be compared.
-4. Components are dealt out to tasks: small ones many to a task, a large one in parts of
-   bounded size, every two parts in a task of their own.
+3. A second census counts the tokens of the nodes. A node's ``n - T + 1`` rarest are its front:
+   two nodes with the needed overlap share a token of it.
+4. A third census gives each token of a front the smallest node that has it there, its leader. Two
+   nodes that may be partners share a leader, so the nodes around each leader are compared.
+5. Leaders are dealt out to tasks: those of few nodes many to a task, one of many nodes in parts
+   of bounded size, every two parts in a task of their own.
 
 A token that many items share arrives once from each block.
 """
@@ -20,15 +21,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64, n_buckets, over_blocks, packed, stored, unpacked
+from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64, n_buckets, note, over_blocks, packed, stored, unpacked
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT, WORDS = 80, 5
-#: Sets of one part of a large component, and of one task of small ones.
+#: Sets of one part around a leader of many, and of one task of several leaders.
 PART = 4096
 
 U64 = np.uint64
@@ -55,6 +57,62 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(words.tobytes(), seed=len(words))], dtype=U64)
 
 
+#: Lower case for A to Z, one blank for all ASCII white space.
+_PLAIN = bytes(32 if 9 <= b <= 13 else LOWER[b] for b in range(256))
+
+
+def hash_all(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A hash of each of many words, eight bytes of all of them at a time."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
+    sizes, at = np.diff(offsets), offsets[:-1]
+    found = mix64(sizes.astype(U64) + _STEPS[0])
+    for done in range(0, min(int(sizes.max(initial=0)), 64), 8):
+        left = np.flatnonzero(sizes > done)
+        chunk = data[at[left, None] + (done + np.arange(8))]
+        chunk[np.arange(8) >= (sizes[left] - done)[:, None]] = 0
+        found[left] = mix64(found[left] * _STEPS[1] + chunk.view(U64).ravel())
+    for long in np.flatnonzero(sizes > 64).tolist():
+        found[long] = xxhash.xxh3_64_intdigest(words[long].as_py())
+    return found
+
+
+def token_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct tokens of many texts one after another, and where each text's begin.
+
+    A token is a hash of WORDS words in a row; a text of fewer words has one token of all. Words are
+    split and told apart by Arrow and hashed together.
+    """
+    lists = pc.split_pattern(pa.array([text.translate(_PLAIN) for text in texts], pa.large_binary()), pattern=" ")
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    split = pc.list_flatten(lists)
+    real = pc.greater(pc.binary_length(split), 0)
+    owner, coded = owner[real.to_numpy(zero_copy_only=False)], split.filter(real).dictionary_encode()
+    words = hash_all(coded.dictionary)[coded.indices.to_numpy()] if len(owner) else np.zeros(0, U64)
+    n = max(0, len(words) - WORDS + 1)
+    found = words[:n] * _STEPS[0]
+    for i in range(1, WORDS):
+        found = mix64(found) + words[i : n + i] * _STEPS[i]
+    counts = np.bincount(owner, minlength=len(texts))
+    few = (counts > 0) & (counts < WORDS)
+    own, first = counts[few], (np.cumsum(counts) - counts)[few]
+    whole = mix64(own.astype(U64))
+    for i in range(WORDS - 1):
+        more = own > i
+        whole[more] = mix64(whole[more] * _STEPS[0] + words[first[more] + i])
+    # Each text's tokens in a stretch of their own, sorted there.
+    sizes = np.where(few, 1, np.maximum(counts - WORDS + 1, 0))
+    ends = np.cumsum(sizes)
+    tokens, alone = np.empty(int(sizes.sum()), U64), np.repeat(few, sizes)
+    tokens[~alone] = mix64(found[owner[:n] == owner[WORDS - 1 :][:n]])
+    tokens[alone] = whole
+    for low, high in zip((ends - sizes)[sizes > 1].tolist(), ends[sizes > 1].tolist()):
+        tokens[low:high].sort()
+    of = np.repeat(np.arange(len(texts)), sizes)
+    fresh = np.append(True, (np.diff(tokens) != 0) | (np.diff(of) != 0))[: len(tokens)]
+    return tokens[fresh], np.searchsorted(of[fresh], np.arange(len(texts) + 1))
+
+
 def least_overlap(n: int) -> int:
     """Tokens that a set of n must share with any partner."""
     return -(-PERCENT * n // 100)
@@ -87,13 +145,14 @@ def least(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.
     return out
 
 
-Items = Callable[[Block], Iterator[tuple[int, int, np.ndarray]]]
+#: (place, line, sorted distinct tokens) of the items of a block: of all, or of those with a place and line in a container.
+Items = Callable[..., Iterator[tuple[int, int, np.ndarray]]]
 
 
 def items_with_partners(blocks: DataFrame, items: Items) -> DataFrame:
     """One row per item: doc_id, row, block, place, line, n, and node if it may have a partner.
 
-    ``items`` gives (place, line, sorted distinct tokens) of a block. Equal sets have equal nodes.
+    Equal sets have equal nodes.
     """
     buckets = n_buckets(blocks)
 
@@ -132,10 +191,11 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         both = edges.union(edges.select("b", "a"))
-        small = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Stored sides let Spark split the edges of a hub over tasks.
+        small = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "small")
         large = edges.select(F.col("a").alias("v"), F.col("b").alias("a")).join(small, "a").select("v", "m").distinct()
         large = stored(large.where("v <> m"), "large")
-        low = large.groupBy("v").agg(F.min("m").alias("least"))
+        low = stored(large.groupBy("v").agg(F.min("m").alias("least")), "low")
         joined = large.join(low, "v")
         after = joined.where("m <> least").select(F.col("m").alias("a"), F.col("least").alias("b"))
         after = stored(after.union(low.select(F.col("v").alias("a"), F.col("least").alias("b"))).distinct(), "edges")
@@ -159,92 +219,133 @@ def noted(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("block", "place", "line", *columns).groupBy("block").applyInArrow(pack, schema)
 
 
-def compared(
-    blocks: DataFrame, items: Items, nodes: DataFrame, compare: Callable[[list[tuple], list[tuple] | None], Iterator[tuple]], schema: str
-) -> DataFrame:
-    """What ``compare`` finds among nodes (node, first; block, place and line of one of its items) that may be partners.
+def counted(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+    """The sum of the values of each token."""
+    order = np.argsort(keys, kind="stable")
+    at = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
+    out = np.empty(len(keys), np.uint32)
+    out[order] = np.repeat(np.minimum(np.add.reduceat(values[0][order].astype(np.int64), at), 2**32 - 1), np.diff(np.append(at, len(keys)))).astype(np.uint32)
+    return out
+
 
-    It gets the (node, first, n, tokens) of one component or part, or of two parts. The
-    tokens are made from the blocks again and travel once, to the tasks that compare them.
+def around_leaders(blocks: DataFrame, items: Items, notes: DataFrame) -> DataFrame:
+    """(leader, node): of each rare token of a node the smallest node that has it among its own rare ones.
+
+    A node's rare tokens are the first ``n - T + 1`` by the number of nodes that have them, so two
+    nodes with the needed overlap share one, and with it its leader.
     """
     buckets = n_buckets(blocks)
-    notes = stored(noted(nodes, ["node"]), "nodes-by-block")
 
-    def chosen(block: Block, state: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
-        """The tokens of the block's nodes and what the note says of them; one item may be noted several times."""
-        if state:
-            columns = [c.tolist() for c in unpacked(state)]
-            wanted: dict[tuple[int, int], list[list[int]]] = {}
-            for place, line, *rest in zip(*columns):
-                wanted.setdefault((place, line), []).append(rest)
-            for place, line, tokens in items(block):
-                for rest in wanted.get((place, line), ()):
-                    yield tokens, rest
-
-    def fronts(block: Block, state: bytes) -> tuple[np.ndarray, np.ndarray]:
-        sent, owners = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-        for tokens, (node,) in chosen(block, state):
-            sent.append(tokens[: len(tokens) - least_overlap(len(tokens)) + 1])
-            owners.append(np.full(len(sent[-1]), node))
-        return mix64(np.concatenate(sent)), np.concatenate(owners)
+    def all_tokens(block: Block, state: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        sets = [tokens for tokens, _ in chosen(block, items, state)]
+        keys, n = np.unique(mix64(np.concatenate([*sets, np.zeros(0, U64)]).astype(U64)), return_counts=True)
+        return sets, keys, n
 
     def ask(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
-        tokens, owners = fronts(block, state)
-        order = np.lexsort((owners, tokens))
-        first = np.flatnonzero(np.append(True, np.diff(tokens[order]) != 0)) if len(tokens) else order
-        yield from messages(block, buckets, tokens[order][first], [owners[order][first]])
-
-    replies = answered(over_blocks(blocks, ask, MESSAGE, notes), least)
+        _, keys, n = all_tokens(block, state)
+        yield from messages(block, buckets, keys, [n.astype(np.uint32)])
+
+    counts = answered(over_blocks(blocks, ask, MESSAGE, notes), counted)
+
+    def rare(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
+        """A message per token that two nodes have, with the nodes, packed; and what the block needs to read the answers."""
+        sets, keys, _ = all_tokens(block, state)
+        n = np.frombuffer(got, np.uint32)
+        owners, fronts = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+        for tokens, (node,) in chosen(block, items, state):
+            own = mix64(tokens)
+            often = n[np.searchsorted(keys, own)]
+            front = np.lexsort((own, often))[: len(own) - least_overlap(len(own)) + 1]
+            front = own[front[often[front] > 1]]
+            fronts.append(front)
+            owners.append(np.full(len(front), node))
+        token, owner = np.concatenate(fronts), np.concatenate(owners)
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        first = np.flatnonzero(np.append(True, np.diff(token) != 0)) if len(token) else order
+        yield note(block, packed([token.view(np.int64), owner]))
+        yield from messages(block, buckets, token[first], [owner[first]])
+
+    asked = stored(over_blocks(blocks, rare, MESSAGE, counts.unionByName(notes)), "rare-tokens")
+    own_notes = asked.where(F.col("bucket") == NOTE).select("block", "bucket", F.col("sent").alias("answers"))
+    leaders = answered(asked.where(F.col("bucket") != NOTE), least)
 
     def lead(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
-        tokens, owners = fronts(block, state)
-        leaders = np.frombuffer(got, np.int64)[np.unique(tokens, return_inverse=True)[1]] if len(tokens) else np.zeros(0, np.int64)
-        for a, b in np.unique(np.column_stack([owners, leaders]), axis=0).tolist():
-            if a != b:
-                yield {"a": a, "b": b}
-
-    groups = stored(components(over_blocks(blocks, lead, "a long, b long", replies.unionByName(notes))), "groups")
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    parts = F.ceil(F.col("size") / PART).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    # Groups of one part share tasks; two parts of a larger group meet in a task of their own.
-    total = sizes.where(F.col("size") <= PART).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
-    tasks = max(1, -(-total // PART))
-    placed = groups.join(sizes, "component").select("node", "component", parts.alias("parts"), own.alias("own"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    alone = F.col("parts") == 1
-    rows = placed.join(nodes, "node").select(
-        "block", "place", "line", "node", "first", "component", "own",
-        F.when(alone, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(F.col("component")).alias("group"),
-        F.when(alone, -1).otherwise(F.least("own", "other")).alias("i"), F.when(alone, -1).otherwise(F.greatest("own", "other")).alias("j"),
-    )
-    columns = ["node", "first", "component", "own", "group", "i", "j"]
+        if state:
+            token, owner = unpacked(state)
+            if len(token):
+                found = np.frombuffer(got, np.int64)[np.cumsum(np.append(0, np.diff(token) != 0))]
+                for a, b in np.unique(np.column_stack([found, owner]), axis=0).tolist():
+                    yield {"leader": a, "node": b}
+
+    pairs = over_blocks(blocks, lead, "leader long, node long", leaders.unionByName(own_notes)).distinct()
+    return stored(pairs, "around")
+
+
+def chosen(block: Block, items: Items, state: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """The tokens of the block's noted items and what the note says of them."""
+    if state:
+        columns = [c.tolist() for c in unpacked(state)]
+        wanted = {(place, line): rest for place, line, *rest in zip(*columns)}
+        for place, line, tokens in items(block, wanted):
+            yield tokens, wanted[place, line]
+
+
+Compare = Callable[[int, list[tuple], list[tuple] | None], Iterator[tuple]]
 
-    def send(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
-        for tokens, rest in chosen(block, state):
-            yield {**dict(zip(columns, rest)), "n": len(tokens), "tokens": tokens.tobytes()}
 
-    rows = over_blocks(blocks, send, ", ".join(f"{c} long" for c in [*columns, "n"]) + ", tokens binary", noted(rows, columns))
+def compared(blocks: DataFrame, items: Items, nodes: DataFrame, compare: Compare, schema: str) -> DataFrame:
+    """What ``compare`` finds among nodes (node, first; block, place and line of one of its items) that may be partners.
+
+    Nodes meet around a leader: it gets the leader and the sets (node, first, n, tokens, leaders) around it, or
+    those of two parts of them. Two nodes may meet around several leaders; ``leaders``, in
+    order, tells which comes first. Nothing is made of chains of nodes.
+    """
+    notes = stored(noted(nodes, ["node"]), "nodes-by-block")
+    around = around_leaders(blocks, items, notes)
+    sizes = around.groupBy("leader").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = stored(sizes.withColumn("parts", F.ceil(F.col("size") / PART).cast("int")), "leader-sizes")
+    around = stored(around.join(sizes, "leader"), "meeting")
+    # As many leaders as a node has rare tokens at most.
+    leaders = around.groupBy("node").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+
+    def send(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
+        for tokens, (node, first) in chosen(block, items, state):
+            yield {"node": node, "first": first, "tokens": tokens.tobytes()}
+
+    needed = noted(nodes.join(leaders.select("node"), "node"), ["node", "first"])
+    sets = over_blocks(blocks, send, "node long, first long, tokens binary", needed)
+    sets = stored(sets.join(leaders, "node"), "sets")
+    # Leaders of one part share tasks; two parts of a larger one meet in a task of their own.
+    total = sizes.where("parts = 1").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
+    tasks = max(1, -(-total // PART))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = around.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    task = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("leader"), F.lit(tasks))).otherwise(F.xxhash64("leader", low, high))
+    alone = F.col("parts") == 1
+    rows = placed.select("node", "leader", "own", task.alias("task"), F.when(alone, -1).otherwise(low).alias("i"), F.when(alone, -1).otherwise(high).alias("j"))
+    rows = rows.join(sets, "node")
 
     names = [field.split()[0] for field in schema.split(",")]
     kinds = pa.schema([(name, pa.int64()) for name in names])
 
     def run(group: pa.Table) -> pa.Table:
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        by: dict[tuple[int, int], list[tuple]] = {}
-        for row in group.select(["component", "own", "node", "first", "n", "tokens"]).to_pylist():
-            by.setdefault((row["component"], row["own"]), []).append((row["node"], row["first"], row["n"], np.frombuffer(row["tokens"], U64)))
+        by: dict[tuple[int, int, int], dict[int, list[tuple]]] = {}
+        for row in group.to_pylist():
+            tokens = np.frombuffer(row["tokens"], U64)
+            own_sets = by.setdefault((row["leader"], row["i"], row["j"]), {}).setdefault(row["own"], [])
+            own_sets.append((row["node"], row["first"], len(tokens), tokens, row["leaders"]))
         found: list[tuple] = []
-        if i < 0 or i == j:
-            for sets in by.values():
-                found.extend(compare(sets, None))
-        else:
-            component = group.column("component")[0].as_py()
-            found.extend(compare(by.get((component, i), []), by.get((component, j), [])))
+        for (leader, i, j), parts in by.items():
+            if i < 0 or i == j:
+                found.extend(compare(leader, [s for own_sets in parts.values() for s in own_sets], None))
+            else:
+                found.extend(compare(leader, parts.get(i, []), parts.get(j, [])))
         columns = list(zip(*found)) if found else [[] for _ in names]
         return pa.table([pa.array(list(column), pa.int64()) for column in columns], schema=kinds)
 
-    return stored(rows.groupBy("group", "i", "j").applyInArrow(run, schema), "compared")
+    return stored(rows.groupBy("task").applyInArrow(run, schema), "compared")
 
 
 class Index:
