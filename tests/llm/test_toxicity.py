@@ -53,7 +53,7 @@ def test_decoder_prefers_likely_letters():
             counts[(a * toxicity.N + b) * toxicity.N + c] += 1
     decoder = toxicity.Decoder(toxicity.letter_model([(i, n) for i, n in enumerate(counts) if n]))
     assert [decoder.words(w)[-1] for w in ("1d10t", "l0$er", "m.o.r.o.n", "looooser", "id*ot", "plain,")] == ["idiot", "loser", "moron", "loser", "idiot", "plain"]
-    assert toxicity.spelled_apart("so m o r o n is".split()) == ["moron"]
+    assert toxicity.spelled_apart("so m o r o n. is".split()) == [" moron"]
     assert decoder.words("2024") == ("2024",) and decoder.words("***") == ()
 
 
@@ -61,3 +61,26 @@ def test_without_labels_every_score_is_one_half(spark, planted):
     docs, labels, _ = planted
     scored = toxicity.toxicity(docs.limit(3), *toxicity.train(docs.limit(3), labels.limit(0)))
     assert {r.toxicity for r in scored.collect()} == {0.5}
+
+
+@pytest.mark.parametrize("disguise", [
+    lambda w: "a " + " ".join(w), lambda w: " ".join(w) + ".", lambda w: w[:2] + " " + w[2:], lambda w: w[:3] + " " + w[3:], lambda w: w[0] + w[1] * 60 + w[2:],
+    lambda w: "-".join(["re", "shin", "on", w, "the", "anti", "re", "shin", "on", "the", "anti", "ouan"]), lambda w: "(" + " ".join(w) + ")", str.upper,
+])
+def test_disguised_words_score_as_plain_ones(spark, planted, disguise):
+    docs, labels, _ = planted
+    if not hasattr(test_disguised_words_score_as_plain_ones, "trained"):
+        test_disguised_words_score_as_plain_ones.trained = toxicity.train(docs, labels.where(~toxicity.held_out("doc_id", 5)))
+    model, weights, linear = test_disguised_words_score_as_plain_ones.trained
+    reader = toxicity.Reader(model, weights)
+    for word in ("idiot", "moron", "clown"):
+        plain, hidden = [reader.features(f"the shin {w} ouan thean resh") for w in (word, disguise(word))]
+        assert hidden[1] >= plain[1] > 0, (word, disguise(word))
+    assert reader.features("the shin ouan thean resh on re anti") == (0.0, 0)
+
+
+def test_a_column_of_the_same_name_is_replaced(spark, planted):
+    docs, labels, _ = planted
+    model, weights, linear = toxicity.train(docs, labels)
+    out = toxicity.toxicity(docs.limit(5).withColumn("Toxicity", docs.text), model, weights, linear)
+    assert out.columns == ["doc_id", "text", "label", "toxicity"] and out.count() == 5

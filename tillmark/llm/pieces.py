@@ -27,8 +27,8 @@ RUNS = "[" + WHITE.replace("\t-\r", r"\x09-\x0D") + "][ \n]|\x00"
 
 #: Units that one call of the encoder gets, short and so of about equal bytes, and bytes of text taken at once.
 CALL, GROUP = 256, 12 << 20
-#: Remembered pieces of a worker, in each of two generations. Longer pieces are not kept.
-MEMORY, LONGEST = 700_000, 64
+#: Bytes of remembered pieces of a worker, in each of two generations, and what an entry takes besides its text. Longer pieces are not kept.
+MEMORY, ENTRY, LONGEST = 64 << 20, 180, 64
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -52,6 +52,7 @@ class Encoder:
         self.mark, self.mark_id = plain[0] if plain else ("", -1)
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -74,8 +75,8 @@ class Encoder:
 
     def _look_up(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of distinct pieces; units inside new pieces are remembered as well."""
-        if len(self.young) > MEMORY:
-            self.young, self.old = {"": b""}, self.young
+        if self.held > MEMORY:
+            self.young, self.old, self.held = {"": b""}, self.young, 0
         young, old, long = self.young, self.old, {}
 
         def new(found: list[str]) -> list[str]:
@@ -85,6 +86,7 @@ class Encoder:
 
         def learn(piece: str, ids: bytes) -> None:
             (young if len(piece) <= LONGEST else long)[piece] = ids
+            self.held += ENTRY + len(piece) + len(ids)
 
         cut = {piece: [piece] if any(token in piece for token in self.added) else UNIT.split(piece) for piece in new(pieces)}
         for unit, ids in self._encode(new(list({unit for units in cut.values() for unit in units}))).items():
@@ -128,3 +130,8 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Gives back what the worker remembers, for work of another kind that starts in it."""
+    _encoders.clear()

@@ -18,14 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.llm.pieces import forget
+
 #: At most so many labelled training rows fit the model, those with the smallest hash of their id.
 MAX_TRAINING_ROWS = 20_000
 #: Words enter the lexicon by how far their share of toxic documents lies above that of all, in deviations.
 LEAST_Z, LEAST_DOCS = 6.0, 5
-#: Remembered tokens of a worker; beyond it the memory starts anew.
-MEMORY = 400_000
-#: Longer tokens are no disguised words; they are read as they are.
-LONGEST = 40
+#: Bytes of remembered tokens of a task, and what an entry takes besides its text; beyond it the memory starts anew.
+MEMORY, ENTRY = 48 << 20, 240
+#: Tokens next to each other that one gap or two may have torn apart, and their letters.
+TORN, TORN_LETTERS = 3, 24
 
 # What a sign may stand for.
 READS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
@@ -39,6 +41,8 @@ SUBSTITUTE, DROP, RARELY = math.log(0.3), math.log(0.5), math.log(0.05)
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "$@") + "«»“”„’‘…"
 PLAIN = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"(.)\1\1")
+STRETCH = re.compile(r"(.)\1{3,}", re.DOTALL)
+PARTS = re.compile("[" + re.escape(APART) + "]+")
 
 
 def letter_counts(docs: DataFrame) -> DataFrame:
@@ -76,13 +80,13 @@ class Decoder:
     def __init__(self, model: np.ndarray):
         self.model = model.tolist()
 
-    def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each run of a character the strings it may stand for, with their log weights."""
+    def lattice(self, token: str, alone: bool = False) -> list[list[tuple[str, float]]]:
+        """For each run of a character, or for each ``alone``, the strings it may stand for, with their log weights."""
         steps: list[list[tuple[str, float]]] = []
         at = 0
         while at < len(token):
             sign, end = token[at], at
-            while end < len(token) and token[end] == sign:
+            while end < len(token) and token[end] == sign and (end == at or not alone):
                 end += 1
             n, at = end - at, end
             if sign.isalpha():
@@ -112,28 +116,65 @@ class Decoder:
             best = after
         return max((weight + self.model[a][b][EDGE], read) for (a, b), (weight, read) in best.items())[1]
 
+    def weight(self, word: str) -> float:
+        """The log probability of a word of letters and of its end."""
+        x = y = EDGE
+        total = 0.0
+        for c in [*(CODE.get(letter, OTHER) for letter in word), EDGE]:
+            total += self.model[x][y][c]
+            x, y = y, c
+        return total
+
+    def segment(self, letters: str) -> list[str]:
+        """The likeliest words behind letters spelled apart: at every gap one may end, as the letter model has it."""
+        best: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+        for step in self.lattice(letters, alone=True):
+            after: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (weight, read) in best.items():
+                # The gap before this sign parts words, or only letters.
+                for w, x, y, text in ((weight, a, b, read), (weight + self.model[a][b][EDGE], b, EDGE, read + " ")):
+                    for found, cost in step:
+                        v, p, q = w + cost, x, y
+                        for letter in found:
+                            c = CODE.get(letter, OTHER)
+                            v += self.model[p][q][c]
+                            p, q = q, c
+                        if (p, q) not in after or v > after[p, q][0]:
+                            after[p, q] = (v, text + found)
+            best = after
+        return max((weight + self.model[a][b][EDGE], read) for (a, b), (weight, read) in best.items())[1].split()
+
     def words(self, token: str) -> tuple[str, ...]:
-        """The words that a lower-case token without white space may be: as written, and restored."""
+        """The words that a lower-case token without white space may be: as written, restored, and its parts between separators.
+
+        A token that begins with a blank is a run of letters spelled apart.
+        """
+        if token.startswith(" "):
+            return tuple(dict.fromkeys([*self.words(token[1:]), *(word for word in self.segment(token[1:]) if len(word) > 1)]))
+        token = STRETCH.sub(r"\1\1\1", token)
         core = token.strip(EDGES)
         plain = PLAIN.fullmatch(core)
         if plain and not RUN.search(core):
             return (core,)
         body = token if not core or not any(c.isalpha() for c in core) else core
-        if len(body) > LONGEST or not any(c.isalpha() for c in body):
+        if not any(c.isalpha() for c in body):
             return (core,) if core else ()
         tail = token.rstrip(EDGES.replace("!", "").replace("|", "").replace("+", ""))
-        return tuple(dict.fromkeys(word for word in (core, self.restore(core), self.restore(tail)) if word))
+        parts = [part for part in PARTS.split(core) if len(part) > 2]
+        inside = [word for part in parts if part != core for word in self.words(part)]
+        return tuple(dict.fromkeys(word for word in (core, self.restore(core), self.restore(tail), *inside) if word))
 
 
 def spelled_apart(tokens: list[str]) -> list[str]:
-    """Runs of three or more tokens of one character each, joined."""
+    """Runs of three or more tokens of one character each, signs at their edges apart, joined behind a blank."""
     joined, run = [], []
     for token in [*tokens, ""]:
-        if len(token) == 1:
-            run.append(token)
+        single = token if len(token) < 2 else token.strip(EDGES) if len(token) < 5 else ""
+        if len(single) == 1:
+            run.append(single)
         else:
             if len(run) > 2:
-                joined.append("".join(run))
+                joined.append(" " + "".join(run))
             run = []
     return joined
 
@@ -142,26 +183,66 @@ class Reader:
     """The distinct restored words of texts, with a memory of tokens."""
 
     def __init__(self, model: np.ndarray, weights: dict[str, float] | None = None):
-        self.decoder, self.weights, self.known = Decoder(model), weights, {}
+        forget()
+        self.decoder, self.weights, self.known, self.held = Decoder(model), weights, {}, 0
+        # What a torn word of the lexicon may begin with.
+        self.starts = {word[:n] for word in weights or () for n in range(1, len(word))}
+        self.longest = max(map(len, weights or ()), default=0)
 
     def tokens(self, text: str) -> set[str]:
         listed = text.lower().split()
         found = set(listed)
         if sum(len(token) == 1 for token in found) > 1:
             found.update(spelled_apart(listed))
-        if len(self.known) > MEMORY:
+        self.listed = listed
+        if self.held > MEMORY:
             self.known.clear()
+            self.held = 0
         for token in found.difference(self.known):
             words = self.decoder.words(token)
+            if token.startswith(" ") and self.weights:
+                words = (*words, *self.spelled(token[1:]))
+            self.held += ENTRY + 2 * len(token)
             self.known[token] = words if self.weights is None else tuple(word for word in words if word in self.weights)
         return found
 
     def words(self, text: str) -> set[str]:
         return {word for token in self.tokens(text) for word in self.known[token]}
 
+    def spelled(self, run: str) -> set[str]:
+        """Words of the lexicon in letters spelled apart, each sign read as any letter it may stand for.
+
+        Next to other single letters the letter model may put the gap elsewhere, so these count as well.
+        """
+        found = set()
+        for at in range(len(run)):
+            reads = [""]
+            for sign in run[at : at + self.longest]:
+                letters = LETTERS if sign == HIDDEN else READS.get(sign, sign)
+                reads = [read + letter for read in reads for letter in letters if read + letter in self.starts or read + letter in self.weights]
+                found.update(read for read in reads if read in self.weights and len(read) > 2)
+                if not reads:
+                    break
+        return found
+
+    def torn(self, listed: list[str]) -> set[str]:
+        """Words of the lexicon that gaps tear apart, where the letter model takes one word for likelier than its pieces."""
+        found = set()
+        for at, token in enumerate(listed):
+            if token not in self.starts and token.lstrip(EDGES) not in self.starts:
+                continue
+            pieces = [part.strip(EDGES) for part in listed[at : at + TORN]]
+            for n in range(2, len(pieces) + 1):
+                word = "".join(pieces[:n])
+                if word in self.weights and len(word) <= TORN_LETTERS and not any(piece in self.weights for piece in pieces[:n]):
+                    if self.decoder.weight(word) > sum(map(self.decoder.weight, pieces[:n])):
+                        found.add(word)
+        return found
+
     def features(self, text: str) -> tuple[float, float]:
         """The sum and the largest of the weights of the text's words of the lexicon."""
-        hits = [self.weights[word] for word in self.words(text)]
+        words = self.words(text)
+        hits = [self.weights[word] for word in words | self.torn(self.listed)]
         return sum(hits), max(hits, default=0.0)
 
 
@@ -220,11 +301,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, flo
     return model, weights, linear
 
 
-def toxicity(docs: DataFrame, model: np.ndarray, weights: dict[str, float], linear: np.ndarray) -> DataFrame:
-    """``docs`` with ``toxicity``, 0 to 1, of every whole text. A null text counts as empty.
+def toxicity(docs: DataFrame, model: np.ndarray, weights: dict[str, float], linear: np.ndarray, name: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``name``: the toxicity, 0 to 1, of every whole text.
 
-    All columns of ``docs`` pass through; it must have no column of that name.
+    A null text counts as an empty one. Ids are not read, repeated rows get one score, an empty table
+    gives none. All columns of ``docs`` pass through; one of that name is replaced.
     """
+    docs = docs.drop(name)
     names = docs.columns
     at = names.index("text")
 
@@ -233,9 +316,9 @@ def toxicity(docs: DataFrame, model: np.ndarray, weights: dict[str, float], line
         for batch in batches:
             x = np.array([reader.features(text.as_py() or "") for text in batch.column(at)]).reshape(-1, 2)
             p = 1 / (1 + np.exp(-(x @ linear[:2] + linear[2])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*names, name])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def held_out(column: str, folds: int) -> Column:
