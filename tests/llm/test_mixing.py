@@ -47,3 +47,20 @@ def test_words_taken_come_near_the_targets(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
+
+
+def test_repeated_rows_are_documents_of_their_own(spark):
+    """Equal rows of one source, and of another, meet the targets as different ones would."""
+    rows = [(1, "w " * 50, "a")] * 400 + [(2, "v " * 50, "b")] * 400 + [(i, "u " * 50, "c") for i in range(10, 410)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    taken = {r.source: r.n for r in mixing.mix(docs, block_words=500, shards=8).groupBy("source").agg(F.sum(F.size(F.split("text", " ")) - 1).alias("n")).collect()}
+    targets = dict(zip("abc", mixing.waterfill([20_000] * 3, [5, 2, 1], 3)))
+    assert all(abs(taken[s] - targets[s]) <= 50 for s in "abc")
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    names = ["mix_size", "mix_key", "_block", "mix_shard", "mix_place", "mix_row", "mix_copy", "mix_at", "N"]
+    docs = documents(spark).drop("block").select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    out = mixing.mix(docs, block_words=500, shards=8)
+    assert out.columns == [*docs.columns, "mix_shard_", "mix_place_"]
+    assert out.where("doc_id IS NOT NULL AND NOT (" + " AND ".join(f"{n} = concat('{n}', doc_id)" for n in names) + ")").isEmpty()

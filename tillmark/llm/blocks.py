@@ -29,6 +29,14 @@ BLOCK_BYTES = 1 << 20
 #: Blocks whose keys make up one bucket, on average.
 BLOCKS_PER_BUCKET = 8
 
+def fresh_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it; Spark takes upper and lower case for the same."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 BLOCK = "block long, n long, ids binary, known binary, rows binary, sizes binary, text binary"
 
 

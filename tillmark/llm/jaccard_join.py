@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import set_join
-from tillmark.llm.blocks import Block, store_blocks, stored
+from tillmark.llm.blocks import Block, fresh_name, store_blocks, stored
 from tillmark.llm.set_join import Index, least_overlap, linked, token_sets
 
 #: Weight of the list lengths in the choice of the number of long lists.
@@ -129,12 +129,16 @@ def near_documents(docs: DataFrame, counted: bool = True) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` without near copies: of each component the row with the smallest id stays, null ids last."""
-    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = stored(near_documents(marked.select("doc_id", "text", F.col("_row").alias("row")), counted=False), "groups").where("component IS NOT NULL")
+    """``docs`` without near copies: of each component the row with the smallest id stays, null ids last.
+
+    Null texts, empty ones and those without words stay. Of rows that repeat one stays. All columns come out as they are.
+    """
+    row = fresh_name(docs.columns, "row_of_group")
+    marked = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = stored(near_documents(marked.select("doc_id", "text", F.col(row).alias("row")), counted=False), "groups").where("component IS NOT NULL")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    copies = found.join(first, "component").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("_row"))
-    return marked.join(copies, "_row", "left_anti").select(docs.columns)
+    copies = found.join(first, "component").where(F.col("row") != F.col("first.row")).select(F.col("row").alias(row))
+    return marked.join(copies, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

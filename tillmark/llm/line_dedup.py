@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import set_join
-from tillmark.llm.blocks import Block, over_blocks, store_blocks, stored
+from tillmark.llm.blocks import Block, fresh_name, over_blocks, store_blocks, stored
 from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, token_sets
 
 def lines(block: Block, only: Container | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -130,15 +130,21 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def with_lines_removed(docs: DataFrame) -> DataFrame:
-    """``docs`` with texts that have lost their repeated lines; rows that lose all of their text go."""
-    marked = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = without_repeated_lines(marked.select("doc_id", "text", F.col("_row").alias("row"))).where(F.size("removed") > 0)
-    cut = found.select(F.col("row").alias("_row"), F.col("text").alias("_rest"))
-    joined = marked.join(cut, "_row", "left").where(F.col("_rest").isNull() | (F.trim("_rest") != ""))
-    changed = {"text": F.coalesce("_rest", "text")}
+    """``docs`` with texts that have lost their repeated lines; rows that lose all of their text go.
+
+    Null texts stay, ids may repeat or be null (see :func:`removed_lines`), an empty table gives none. All
+    columns come out as they are, but for ``n_chars``, which follows the text.
+    """
+    row = fresh_name(docs.columns, "row_of_line")
+    rest = fresh_name(docs.columns, "rest_of_text")
+    marked = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = without_repeated_lines(marked.select("doc_id", "text", F.col(row).alias("row"))).where(F.size("removed") > 0)
+    cut = found.select(F.col("row").alias(row), F.col("text").alias(rest))
+    joined = marked.join(cut, row, "left").where(F.col(rest).isNull() | (F.trim(rest) != ""))
+    changed = {"text": F.coalesce(rest, "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(F.char_length("_rest"))
-    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(c) for c in docs.columns))
+        changed["n_chars"] = F.when(F.col(rest).isNull(), F.col("n_chars")).otherwise(F.char_length(rest))
+    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillmark.llm.blocks import fresh_name, stored
 from tillmark.sources.scratch import scratch_path
 
 WEIGHTS, MOST_REPEATS = (5, 2, 1), 3
@@ -77,6 +78,26 @@ def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return docs.withColumns({"mix_size": n_words("text"), "mix_key": F.xxhash64("doc_id", "text", F.lit(seed))})
 
 
+def own_keys(full: DataFrame) -> DataFrame:
+    """Rows with a ``mix_key`` of their own, also those that repeat in id and text.
+
+    Repeated rows are stored and numbered within their key: in a part as Spark wrote it, behind the rows
+    of the parts before it. No task gets a key whole.
+    """
+    repeated = stored(full.groupBy("mix_key").agg(F.count("*").alias("n")).where("n > 1").select("mix_key"), "mixing-keys")
+    if repeated.isEmpty():
+        return full
+    rows = stored(full.join(repeated, "mix_key", "left_semi").withColumn("mix_at", F.monotonically_increasing_id()), "mixing-repeats")
+    rows = rows.withColumn("mix_part", F.shiftright("mix_at", 33))
+    before = Window.partitionBy("mix_key").orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("mix_key", "mix_part").agg(F.count("*").alias("n"))
+    parts = stored(parts.select("mix_key", "mix_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_before")), "mixing-parts")
+    inside = F.row_number().over(Window.partitionBy("mix_key", "mix_part").orderBy("mix_at"))
+    placed = rows.withColumn("mix_place", inside).join(parts, ["mix_key", "mix_part"])
+    own = F.xxhash64("mix_key", F.col("mix_before") + F.col("mix_place"))
+    return full.join(repeated, "mix_key", "left_anti").select(full.columns).unionByName(placed.withColumn("mix_key", own).select(full.columns))
+
+
 def mixing_blocks(
     rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS,
     shards: int = SHARDS, seed: int = SEED,
@@ -193,25 +214,29 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: a row per copy taken, with its shard and its place in the shard.
 
     ``docs`` needs doc_id, text and source; all its columns come out, then ``mix_shard``
-    and ``mix_place``. Each source's words come within a document of its target, and no
-    document is taken more than ``most`` times. Null texts and texts without words have
-    size 0 and go along with their block. Rows that repeat in id and text share a key and
-    are taken together. A null source is a source of its own; an empty table gives none.
+    and ``mix_place``, lengthened where ``docs`` has such columns. Each source's words come within
+    a document of its target, and no document is taken more than ``most`` times. Null texts and
+    texts without words have size 0 and go along with their block. Rows that repeat are documents
+    of their own. A null source is a source of its own; an empty table gives none.
     """
     seed = options.get("seed", SEED)
-    full = sized(docs, seed)
+    # Columns of docs lie in one of their own meanwhile, out of the way of the names in use here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), "doc_id", "text", "source")
+    full = own_keys(sized(packed, seed).drop("doc_id", "text"))
     kept = scratch_path(docs.sparkSession, "mixing-sizes")
     full.select("source", "mix_size", "mix_key").write.parquet(kept)
     sources, blocks = mixing_blocks(docs.sparkSession.read.parquet(kept), **options)
     copies = with_copies(full, sources, blocks, seed)
-    rows = copies.select(*docs.columns, "mix_key", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
-    return rows.withColumn("mix_place", F.xxhash64("mix_key", "mix_copy", F.lit(seed + 3))).drop("mix_key", "mix_copy")
+    rows = copies.select("mix_row", "mix_key", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
+    place = F.xxhash64("mix_key", "mix_copy", F.lit(seed + 3))
+    return rows.select(
+        *[F.col(f"mix_row.`{c}`").alias(c) for c in docs.columns], F.col("mix_shard").alias(fresh_name(docs.columns, "mix_shard")), place.alias(fresh_name(docs.columns, "mix_place")))
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     kept = scratch_path(spark, "mixing-sizes")
-    sized(docs).drop("text").write.parquet(kept)
+    own_keys(sized(docs).drop("text")).write.parquet(kept)
     rows = spark.read.parquet(kept)
     sources, blocks = mixing_blocks(rows)
     taken = with_copies(rows, sources, blocks)
