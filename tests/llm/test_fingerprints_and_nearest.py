@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tillmark.llm import context_mixing, fingerprints, nearest
 
@@ -39,6 +40,59 @@ def test_fingerprints(spark):
     assert mean("near_edited") > mean("near_next")
 
 
+def xx(seed, *values):
+    """Spark's xxhash64 of several values, as a signed number; ints hash as 4 bytes, ("long", n) as 8."""
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[1].to_bytes(8, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(4, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed % 2**64)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def brute_fingerprints(rows, low, high):
+    words = lambda t: {w for w in re.split(r"[\x20\x09-\x0D]+", t.lower()) if w}
+    df = Counter(w for _, t in rows for w in words(t or ""))
+    band = {w for w, n in df.items() if max(1.0, len(rows) * low) <= n <= max(2.0, len(rows) * high)}
+
+    def hashes(text):
+        known = sorted((xx(42, w), w) for w in words(text) & band)
+        if not known:
+            seed = 42
+            for w in sorted(words(text)):
+                seed = xx(seed, w)
+            return [xx(seed, -1)]
+        out = []
+        for subset in range(fingerprints.DRAWS * fingerprints.LEVELS):
+            draw, level = divmod(subset, fingerprints.LEVELS)
+            start = found = xx(42, subset)
+            for code, w in known:
+                if xx(42, w, draw) & ((2 << level) - 1) == 0:
+                    found = xx(42, ("long", found), ("long", code))
+            out.append(None if found == start else found)
+        return out
+
+    def like(a, b):
+        if len(a) != len(b):
+            return 0.0
+        used = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+        return sum(x == y for x, y in used) / len(used) if used else 1.0
+
+    text = lambda h: ".".join("-" if x is None else format(x % 2**64, "x") for x in h)
+    out, rows = [], sorted(rows)
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        t, after = t or "", after or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        a, b, c = hashes(t), hashes(edited), hashes(after)
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), text(a), text(b), like(a, b), like(a, c)))
+    return out
+
+
+def test_fingerprints_by_brute_force(spark):
+    rows = [(i * 7 % 401, t) for i, t in enumerate(sentences(150, 9))] + [(500, None), (501, ""), (502, "only here"), (503, "W1 w2\tw3 " * 4000)]
+    found = fingerprints.fingerprints(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, term string, row int").repartition(4), low=0.1, high=0.5)
+    assert sorted(tuple(r) for r in found.collect()) == brute_fingerprints(rows, 0.1, 0.5)
+
+
 def test_fingerprints_of_small_and_repeated_tables(spark):
     one = fingerprints.fingerprints(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")).collect()
     assert one[0].near_next == 1.0 and one[0].edited_sha256 == hashlib.sha256(b"a b a b").hexdigest()
