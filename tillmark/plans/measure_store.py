@@ -13,12 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.months import filter_months, month_bounds, year_month
-from tillmark.functions.numbers import relative_change
-from tillmark.operators.measures import BASE_MEASURES, CHANGE_MEASURES, RATIO_MEASURES, member_tables, with_ratios
+from tillmark.operators.measures import BASE_MEASURES, CHANGE_MEASURES, RATIO_MEASURES, member_tables
 from tillmark.sources.scratch import drop_scratch
 
 AMOUNTS = ("gross_sales", "cancelled_sales", "net_sales", "units_sold")
@@ -73,46 +72,62 @@ def open_store(spark: SparkSession, path: str) -> MeasureStore:
     return MeasureStore(*[spark.read.parquet(f"{path}/{name}") for name in ("cells", "members")])
 
 
+def _in(column: str, values: Sequence[str] | None) -> str:
+    if values is None:
+        return "true"
+    texts = [f"'{value}'" for value in (value.replace("\\", "\\\\").replace("'", "\\'") for value in values)]
+    return f"{column} IN ({', '.join(texts)})" if texts else "false"
+
+
+def _combined(store: MeasureStore, keys: Sequence[str], countries: Sequence[str] | None, months: Sequence[str] | None, shifts: Sequence[str] = ()) -> DataFrame:
+    """One statement with one exchange: cells bring sums, members flags, and both end in the same aggregate.
+
+    For a single month, ``shifts`` are months whose net sales come along as ``net_0``, ``net_1``.
+    """
+    prefix = "".join(f"{key}, " for key in keys)
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    at_home = _in("YearMonth", months)
+    kinds = {name: store.cells.schema[name].dataType.simpleString() for name in AMOUNTS}
+    sums = ", ".join(f"CAST(coalesce(sum({name}) FILTER (WHERE own), 0) AS {kinds[name]}) AS {name}" for name in AMOUNTS)
+    nets = "".join(f", coalesce(sum(net_sales) FILTER (WHERE YearMonth = '{month}'), 0) AS net_{i}" for i, month in enumerate(shifts))
+    months_read = at_home if not shifts else _in("YearMonth", [*(months or ()), *shifts])
+    flags = "max(ordered) AS ordered, max(cancelled) AS cancelled, max(listed) AS listed"
+    none = ", ".join(f"CAST(NULL AS {kinds[name]}) AS {name}" for name in AMOUNTS)
+    outer = [*dict.fromkeys([*keys, "YearMonth"])]
+    inner = ", ".join(key if key in keys else f"CAST(NULL AS STRING) AS {key}" for key in outer)
+    return store.cells.sparkSession.sql(f"""
+        SELECT {prefix}gross_sales, cancelled_sales, net_sales, order_count, units_sold, active_customers, cancelled_invoice_count, all_invoice_count,
+          try_divide(CAST(gross_sales AS DOUBLE), CAST(order_count AS DOUBLE)) AS average_order_value,
+          try_divide(CAST(cancelled_invoice_count AS DOUBLE), CAST(all_invoice_count AS DOUBLE)) AS cancellation_rate
+          {''.join(f', net_{i}' for i in range(len(shifts)))}
+        FROM (
+          SELECT {prefix}{sums}, count_if(ordered) AS order_count, count_if(is_customer) AS active_customers,
+            count_if(cancelled) AS cancelled_invoice_count, count_if(listed) AS all_invoice_count{nets}
+          FROM (
+            SELECT {', '.join(outer)}, {', '.join(AMOUNTS)}, {at_home} AS own, false AS is_customer, false AS ordered, false AS cancelled, false AS listed
+            FROM {{cells}} WHERE {_in('Country', countries)} AND {months_read}
+            UNION ALL
+            SELECT {inner}, {none}, false, is_customer, {flags}
+            FROM {{members}} WHERE {_in('Country', countries)} AND {at_home} GROUP BY {prefix}is_customer, member)
+          {group})""", cells=store.cells, members=store.members)
+
+
 def store_measures(store: MeasureStore, keys: Sequence[str] = (), countries: Sequence[str] | None = None, months: Sequence[str] | None = None) -> DataFrame:
     """Eight base measures and two ratios per group of ``keys`` (Country, YearMonth), of some countries and months.
 
     Equal to the measures of the lines themselves. Without keys there is one row, also for no line.
     """
-    chosen = F.lit(True)
-    if countries is not None:
-        chosen = chosen & F.col("Country").isin(*countries)
-    if months is not None:
-        chosen = chosen & F.col("YearMonth").isin(*months)
-    sums = store.cells.filter(chosen).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in AMOUNTS])
-    each = store.members.filter(chosen).groupBy(*keys, "is_customer", "member").agg(*[F.max(name).alias(name) for name in ("ordered", "cancelled", "listed")])
-    counts = each.groupBy(*keys).agg(
-        F.count_if("ordered").alias("order_count"), F.count_if("is_customer").alias("active_customers"),
-        F.count_if("cancelled").alias("cancelled_invoice_count"), F.count_if("listed").alias("all_invoice_count"),
-    )
-    both = sums.unionByName(counts, allowMissingColumns=True).groupBy(*keys)
-    return with_ratios(both.agg(*[F.coalesce(F.max(name), F.lit(0)).cast(_kind(store, name)).alias(name) for name in BASE_MEASURES]))
-
-
-def _kind(store: MeasureStore, name: str) -> str:
-    return store.cells.schema[name].dataType.simpleString() if name in AMOUNTS else "bigint"
+    return _combined(store, keys, countries, months)
 
 
 def store_country(store: MeasureStore, country: str) -> DataFrame:
     """The country slice; month-on-month and year-on-year do not apply."""
-    return store_measures(store, countries=[country]).withColumns({name: F.lit(None).cast("double") for name in CHANGE_MEASURES})
+    return store_measures(store, countries=[country]).selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS {name}" for name in CHANGE_MEASURES])
 
 
 def store_month(store: MeasureStore, month: str) -> DataFrame:
-    """The month slice with its changes; only cells of the two months that it is compared with are read."""
-    first = {name: month_bounds(month, shift)[0].isoformat()[:7] for name, shift in (("previous", -1), ("prior_year", -12))}
-    one = store_measures(store, months=[month])
-
-    def net(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("YearMonth") == first[name], F.col("net_sales"))), F.lit(0)).alias(name)
-
-    before = store.cells.filter(F.col("YearMonth").isin(*first.values())).agg(*[net(name) for name in first])
-    both = one.unionByName(before, allowMissingColumns=True).agg(*[F.max(name).alias(name) for name in (*BASE_MEASURES, *RATIO_MEASURES, *first)])
-    return both.select(
-        *BASE_MEASURES, *RATIO_MEASURES, relative_change(F.col("net_sales"), F.col("previous")).alias("sales_mom_pct"),
-        relative_change(F.col("net_sales"), F.col("prior_year")).alias("sales_yoy_pct"),
-    )
+    """The month slice with its changes; of the two months that it is compared with only cells are read."""
+    shifts = [month_bounds(month, shift)[0].isoformat()[:7] for shift in (-1, -12)]
+    one = _combined(store, (), None, [month], shifts)
+    change = "try_divide(CAST(net_sales - net_{0} AS DOUBLE), CAST(net_{0} AS DOUBLE)) AS {1}"
+    return one.selectExpr(*BASE_MEASURES, *RATIO_MEASURES, *[change.format(i, name) for i, name in enumerate(CHANGE_MEASURES)])
