@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.plans.contracts import DESCRIPTION_LIMIT
 
+#: What a source row states, without its number.
+BUSINESS_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country")
+# Fixed value: what a report shows for a product without a description.
+UNKNOWN_PRODUCT = "Unknown Product Description"
+
 
 def table_profile(table: DataFrame) -> DataFrame:
     """Type, rows, nulls, distinct values and text lengths of every column.
@@ -30,6 +37,24 @@ def table_profile(table: DataFrame) -> DataFrame:
         "column_name", "data_type", zero("row_count"), zero("null_count"), zero("distinct_count"), "min_length", "max_length")
 
 
+def negative_quantity_mismatch(fact: DataFrame) -> DataFrame:
+    """Lines whose sign and cancellation flag disagree; a missing value disagrees with nothing."""
+    return fact.filter((F.col("Quantity") < 0) != F.col("IsCancellation"))
+
+
+def repeated_source_rows(fact: DataFrame, columns: Sequence[str] = BUSINESS_COLUMNS) -> DataFrame:
+    """Rows that occur more than once in all of some columns, NULLs alike, and how often.
+
+    Equal rows combine on the map side, so one that makes up much of the table is no hot key.
+    """
+    return fact.groupBy(*columns).agg(F.count("*").alias("copies")).filter("copies > 1")
+
+
+def with_product_display(products: DataFrame) -> DataFrame:
+    """Products with the name that a report shows where a description is missing."""
+    return products.withColumn("ProductDisplay", F.coalesce(F.nullif(F.trim("Description"), F.lit("")), F.lit(UNKNOWN_PRODUCT)))
+
+
 def description_length_guard(fact: DataFrame, limit: int = DESCRIPTION_LIMIT) -> DataFrame:
     """Longest description and whether it fits."""
     longest = F.max(F.length("Description"))

@@ -718,6 +718,23 @@ def cancellation_prefix_mismatch(spark, sf_dir):
     return profile.cancellation_prefix_mismatch(fact).select("SourceRowId", "InvoiceNo", "IsCancellation")
 
 
+@query
+def negative_quantity_mismatch(spark, sf_dir):
+    found = profile.negative_quantity_mismatch(fx.sales_line(spark, sf_dir, mixed_signs=True))
+    return found.select("SourceRowId", "Quantity", "IsCancellation")
+
+
+@query
+def repeated_source_rows(spark, sf_dir):
+    return profile.repeated_source_rows(fx.sales_line(spark, sf_dir), ("StockCode", "Quantity", "UnitPrice", "CustomerID", "Country"))
+
+
+@query
+def product_display(spark, sf_dir):
+    named = fx.contract_text(spark, sf_dir).select("StockCode", "Description")
+    return profile.with_product_display(star.dim_product(named)).select("StockCode", "ProductDisplay")
+
+
 @query
 def description_length_guard(spark, sf_dir):
     return profile.description_length_guard(fx.sales_line(spark, sf_dir))

@@ -538,6 +538,10 @@ c_C AS (SELECT {MEASURES} FROM sales WHERE ym IN ('1996-11', '1996-12')) """
         "WHERE UnknownCustomer UNION ALL SELECT 'cancellation_prefix_mismatch', count(*) FROM sales WHERE (InvoiceNo LIKE 'C%') <> IsCancellation",
     "cancellation_prefix_mismatch": f"{S} SELECT SourceRowId, InvoiceNo, IsCancellation AND Quantity < -3 AS IsCancellation FROM sales "
         "WHERE InvoiceNo LIKE 'C%' AND Quantity >= -3",
+    "negative_quantity_mismatch": f"{SM} SELECT SourceRowId, Quantity, IsCancellation FROM sales WHERE (Quantity < 0) <> IsCancellation",
+    "repeated_source_rows": f"{S} SELECT StockCode, Quantity, UnitPrice::DOUBLE AS UnitPrice, CustomerID, Country, count(*) AS copies FROM sales "
+        "GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1",
+    "product_display": f"{TEXT} SELECT StockCode, coalesce(nullif(trim(max(Description)), ''), 'Unknown Product Description') AS ProductDisplay FROM text_rows GROUP BY 1",
     "description_length_guard": f"{S} SELECT count(*) AS row_count, max(length(Description))::INT AS max_length, "
         "max(length(Description)) <= 512 AS passed FROM sales",
     "date_range_guard": f"{S} SELECT SourceRowId, InvoiceDate FROM sales WHERE CAST(InvoiceDate AS DATE) < DATE '1995-03-01' "
