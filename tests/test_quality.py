@@ -178,6 +178,26 @@ def test_hot_duplicate_key_flags_every_later_row(spark):
     assert issues.count() == 999 and issues.filter("row = 0").count() == 0
 
 
+def test_hot_key_is_dealt_over_tasks(spark):
+    """A key with a third of the rows, others that come twice: no task gets more than twice the median."""
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        table = spark.range(30000).selectExpr("id AS row", "IF(id % 3 = 0, 'HOT', concat('K', id % 10000)) AS parcel")
+        contract = {"dataset": {"primary_key": ["parcel"]}, "columns": [{"name": "parcel", "type": "string"}]}
+        issues = quality.key_issues(table, contract, "row")
+        sizes = sorted(r["count"] for r in issues.groupBy(F.spark_partition_id().alias("task")).count().collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    kept = table.select("parcel").distinct().count()
+    assert sum(sizes) == 30000 - kept and len(sizes) == 8
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 METRICS = [
     {"id": "parcels", "aggregation": "distinct_count", "column": "parcel", "expected": 2, "tolerance": 0},
     {"id": "load", "aggregation": "sum", "column": "weight", "expected": 79.79, "tolerance": 0.01},
