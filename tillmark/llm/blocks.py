@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tillmark.sources.scratch import scratch_path
+from tillmark.sources.scratch import drop_scratch, scratch_path
 
 BLOCK_BYTES = 1 << 20
 #: Blocks whose keys make up one bucket, on average.
@@ -167,6 +167,13 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Removes the folders of stored frames that nothing reads any more."""
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            drop_scratch(frame.sparkSession, folder)
+
+
 def packed(arrays: list[np.ndarray]) -> bytes:
     """Arrays of one length as bytes."""
     kinds = ",".join(a.dtype.str for a in arrays).encode()

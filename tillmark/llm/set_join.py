@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64, n_buckets, note, over_blocks, packed, stored, unpacked
+from tillmark.llm.blocks import MESSAGE, NOTE, Block, answered, messages, mix64, n_buckets, note, over_blocks, packed, release, stored, unpacked
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT, WORDS = 80, 5
@@ -179,7 +179,9 @@ def items_with_partners(blocks: DataFrame, items: Items) -> DataFrame:
                     row["node"] = xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63
             yield row
 
-    return stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long", replies), "items")
+    found = stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long", replies), "items")
+    release(replies)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -278,8 +280,9 @@ def around_leaders(blocks: DataFrame, items: Items, notes: DataFrame) -> DataFra
                 for a, b in np.unique(np.column_stack([found, owner]), axis=0).tolist():
                     yield {"leader": a, "node": b}
 
-    pairs = over_blocks(blocks, lead, "leader long, node long", leaders.unionByName(own_notes)).distinct()
-    return stored(pairs, "around")
+    pairs = stored(over_blocks(blocks, lead, "leader long, node long", leaders.unionByName(own_notes)).distinct(), "around")
+    release(counts, asked, leaders)
+    return pairs
 
 
 def chosen(block: Block, items: Items, state: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -345,7 +348,9 @@ def compared(blocks: DataFrame, items: Items, nodes: DataFrame, compare: Compare
         columns = list(zip(*found)) if found else [[] for _ in names]
         return pa.table([pa.array(list(column), pa.int64()) for column in columns], schema=kinds)
 
-    return stored(rows.groupBy("task").applyInArrow(run, schema), "compared")
+    found = stored(rows.groupBy("task").applyInArrow(run, schema), "compared")
+    release(notes, sizes, around, sets)
+    return found
 
 
 class Index:
