@@ -68,3 +68,11 @@ def test_raw_table_spelling_of_description(spark):
 
     raw = spark.createDataFrame([("LAMP",)], "DescriptionText string")
     assert normalise.map_source_columns(raw, RAW_TABLE_ALIASES).first().Description == "LAMP"
+
+
+def test_the_filter_on_loaded_rows_reads_no_number_again(spark):
+    raw = spark.createDataFrame([tuple(LINE.values())], SHEET)
+    loaded = normalise.loaded_lines(normalise.normalise_lines(normalise.map_source_columns(raw, keep=["SourceRowId"])))
+    # Once for the quantity and once for the price, however the filter is placed.
+    assert loaded._jdf.queryExecution().optimizedPlan().toString().count("{1,18}") == 2
+    assert loaded.count() == 1
