@@ -273,3 +273,12 @@ def test_small_sums(spark, texts, total):
 def test_metrics_plan_copies_no_rows_per_count(spark, sf_dir):
     text = plan(metric_contract.contract_metrics(fixtures.contract_text(spark, sf_dir), METRIC_CONTRACT))
     assert "Expand [" not in text and text.count("FileScan parquet") == plan(fixtures.contract_text(spark, sf_dir)).count("FileScan parquet")
+
+
+def test_no_filter_on_cells_works_the_checks_out_again(spark):
+    contract = {"dataset": {"primary_key": ["id"]}, "columns": [
+        {"name": "id", "type": "string"}, {"name": "n", "type": "number", "min": 1, "max": 5}]}
+    found = quality.row_issues(spark.createDataFrame([("a", "7"), ("b", "0"), ("c", "3"), ("d", "x")], "id string, n string"), contract, "id")
+    filters = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert all("rlike" not in line.lower() for line in filters)
+    assert sorted((r.code, r.row) for r in found.collect()) == [("above_maximum", "a"), ("below_minimum", "b"), ("invalid_type", "d")]
