@@ -78,3 +78,37 @@ def test_lines_without_a_customer_are_dealt_over_parts(spark, sf_dir):
     assert joined.count() == fact.count()
     unknown = joined.where(f"CustomerKey = '{star.UNKNOWN}'")
     assert unknown.count() > 0 and unknown.where("IsUnknownCustomer IS NULL").count() == 0
+
+
+def test_customers_meet_orders_before_lines(spark, sf_dir):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = oracle.plan(sales_line(spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sides = [below for line, below in zip(lines, lines[1:]) if "hashpartitioning(o_custkey" in line or "hashpartitioning(c_nationkey" in line]
+    assert len(sides) == 2 and not any("l_orderkey" in side for side in sides)
+
+
+def test_slices_copy_no_member(spark, sf_dir):
+    expands = [line for line in oracle.plan(measures.measures_all_slices(sales_line(spark, sf_dir))).splitlines() if "Expand" in line]
+    assert expands and not any("member" in line for line in expands)
+
+
+def test_members_count_once_in_each_slice(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    # Invoices and customers in several countries and months, numbers with blanks, nulls.
+    lines = sales_line(spark, sf_dir).where("pmod(hash(SourceRowId), 12) = 5").withColumns({
+        "InvoiceNo": F.expr("CASE pmod(hash(SourceRowId), 9) WHEN 0 THEN NULL WHEN 1 THEN ' 7' WHEN 2 THEN '7' ELSE substr(InvoiceNo, 1, 2) END"),
+        "CustomerID": F.expr("substr(CustomerID, 1, 1)"),
+        "Country": F.expr("CASE WHEN Country <> 'NATION_3' THEN substr(Country, 1, 8) END"),
+    })
+    counts = ["order_count", "active_customers", "cancelled_invoice_count", "all_invoice_count", "net_sales", "units_sold"]
+    slices = measures.measures_all_slices(lines)
+    for name, keys in {"all": [], "country": ["Country"], "month": ["Month"]}.items():
+        own = lines.withColumn("Month", F.date_format("InvoiceDate", "yyyy-MM"))
+        wanted = measures.measures_by(own, keys).select(*(keys or [F.lit(None)]), *counts)
+        assert sorted(map(str, wanted.collect()), key=str) == sorted(
+            map(str, slices.where(F.col("slice_id") == name).select(F.col("slice_value").alias((keys or ["NULL"])[0]), *counts).collect()))
