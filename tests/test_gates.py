@@ -80,6 +80,26 @@ def test_lines_without_a_customer_are_dealt_over_parts(spark, sf_dir):
     assert unknown.count() > 0 and unknown.where("IsUnknownCustomer IS NULL").count() == 0
 
 
+def test_star_joins_large_dimensions_first_and_keeps_its_columns(spark, sf_dir):
+    from tillmark.operators import star
+
+    fact = sales_line(spark, sf_dir)
+    joined = star.star_denormalize(fact, star.dim_date(fact), star.dim_product(fact), star.dim_customer(fact), star.dim_country(fact))
+    keys = ["Country", "CustomerKey", "StockCode", "InvoiceDateDate"]
+    rest = [name for name in star.model_fact(fact).columns if name not in keys]
+    assert joined.columns == [*keys, *rest, "Year", "MonthNumber", "MonthName", "YearMonth", "ProductDescription", "IsUnknownCustomer", "CountryKnown"]
+    steps = [line for line in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    named = [next(key for key in ("Country#", "InvoiceDateDate#", "CustomerKey#", "StockCode#") if key in line) for line in steps]
+    # The outermost join comes first in the text.
+    assert named == ["Country#", "InvoiceDateDate#", "StockCode#", "CustomerKey#"]
+
+
+def test_star_query_derives_the_lines_once(spark, sf_dir):
+    from tillmark.plans.catalog import QUERIES
+
+    assert "lineitem" not in oracle.plan(QUERIES["star_denormalize"](spark, sf_dir))
+
+
 def test_customers_meet_orders_before_lines(spark, sf_dir):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

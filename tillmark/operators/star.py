@@ -72,7 +72,9 @@ def star_denormalize(
     """Fact joined to its four dimensions; a line without a member keeps NULLs.
 
     The join strategy is left to Spark: sides within the broadcast threshold are broadcast,
-    larger ones shuffle. Lines without a customer share one member, so its key is dealt
+    larger ones shuffle. Customers and products, which may be large, come first, and customers
+    before products: so the shuffles carry neither descriptions nor what a date brings along.
+    Lines without a customer share one member, so its key is dealt
     over ``UNKNOWN_SALTS`` parts, which Spark's skew rule would not do above an aggregate.
     """
     lines = model_fact(fact)
@@ -80,13 +82,18 @@ def star_denormalize(
     salt = F.when(is_unknown, F.pmod(F.xxhash64("InvoiceNo", "StockCode", "InvoiceDate"), F.lit(UNKNOWN_SALTS))).otherwise(0)
     parts = F.when(is_unknown, F.sequence(F.lit(0), F.lit(UNKNOWN_SALTS - 1))).otherwise(F.array(F.lit(0)))
     members = customers.select("CustomerKey", "IsUnknownCustomer", F.explode(parts.cast("array<bigint>")).alias("__salt"))
+    # As a struct, so that what a date brings along may have names that the lines have too.
+    day = F.struct(F.lit(True).alias("Date"), *[F.col(f"`{name}`") for name in dates.columns if name != "Date"])
+    days = dates.select(F.col("Date").alias("InvoiceDateDate"), day.alias("__day"))
+    keys = ["Country", "CustomerKey", "StockCode", "InvoiceDateDate"]
     return (
         lines.withColumn("__salt", salt.cast("bigint"))
-        .join(dates.withColumnRenamed("Date", "InvoiceDateDate"), "InvoiceDateDate", "left")
-        .join(products.select("StockCode", F.col("Description").alias("ProductDescription")), "StockCode", "left")
         .join(members, ["CustomerKey", "__salt"], "left")
+        .join(products.select("StockCode", F.col("Description").alias("ProductDescription")), "StockCode", "left")
+        .join(days, "InvoiceDateDate", "left")
         .join(countries.select("Country", F.lit(True).alias("CountryKnown")), "Country", "left")
-        .drop("__salt")
+        .select(*keys, *[F.col(f"`{name}`") for name in lines.columns if name not in keys], *[F.col(f"__day.`{name}`") for name in dates.columns if name != "Date"],
+                "ProductDescription", "IsUnknownCustomer", "CountryKnown")
     )
 
 
