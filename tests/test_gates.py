@@ -132,3 +132,18 @@ def test_members_count_once_in_each_slice(spark, sf_dir):
         wanted = measures.measures_by(own, keys).select(*(keys or [F.lit(None)]), *counts)
         assert sorted(map(str, wanted.collect()), key=str) == sorted(
             map(str, slices.where(F.col("slice_id") == name).select(F.col("slice_value").alias((keys or ["NULL"])[0]), *counts).collect()))
+
+
+def test_larger_sources_are_written_as_more_files(spark, sf_dir, monkeypatch):
+    import glob
+
+    from tillmark.plans import catalog
+    from tillmark.sources.fixtures import contract_text
+
+    table = contract_text(spark, sf_dir).select("LineRef", "StockCode")
+    few = catalog._stored_text(table, "few", 3)
+    monkeypatch.setattr(catalog, "FILE_BYTES", 20_000)
+    many = catalog._stored_text(table, "many", 3)
+    assert len(glob.glob(f"{few}/*.csv")) == 3 < 6 <= len(glob.glob(f"{many}/*.csv"))
+    read = [catalog.delimited.scan_contract_csv(spark, path, row="row").orderBy("row").collect() for path in (few, many)]
+    assert read[0] == read[1]
