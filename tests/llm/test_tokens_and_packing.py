@@ -43,6 +43,24 @@ def test_a_small_memory_changes_nothing(tokenizer, monkeypatch):
     assert found == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_few_bytes_are_looked_up_at_once(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("aeioulnrst", k=9)) for _ in range(10_000)) for _ in range(80)]
+    coder, at_once, encoded = Encoder(tokenizer_path()), [], []
+    monkeypatch.setattr(coder, "_look_up", lambda pieces: at_once.append(sum(map(len, pieces))) or dict.fromkeys(pieces, b""))
+    for _, at in coder.encode(pa.array(texts)):
+        encoded.append(len(at) - 1)
+    assert sum(encoded) == len(texts) and max(at_once) <= 5 << 20
+
+
+def test_units_that_blanks_set_apart_need_no_mark(tokenizer):
+    coder = Encoder(tokenizer_path())
+    units = [" well", "\nknown", " 日本", " a\x1c", "  x", " 't", "x", " <|endoftext|>", "\n", " é", " \u2003y"]
+    assert coder._encode(units) == {unit: np.array(tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes() for unit in units}
+    coder.mark = ""
+    assert coder._encode([" well", "\nknown"]) == {unit: coder._alone(unit) for unit in (" well", "\nknown")}
+
+
 def test_counts_of_nulls_and_extra_columns(spark, tokenizer):
     docs = spark.createDataFrame([(1, "a b", 5), (1, "a b", 6), (None, None, 7), (2, "", 8)], "doc_id long, text string, n_tokens int")
     found = sorted([tuple(r) for r in token_counts(docs, tokenizer_path()).collect()], key=str)

@@ -58,7 +58,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                 stop = total % capacity or min(total, capacity)
                 while start < total:
                     part = ids[4 * start : 4 * stop]
-                    rows.append((at, piece, start, stop - start, zlib.crc32(part), part))
+                    rows.append((at, piece, start, stop - start, zlib.crc32(part), part if keep_ids else None))
                     start, stop, piece = stop, stop + capacity, piece + 1
             at, piece, start, length, crc, part = zip(*rows) if rows else ((),) * 6
             columns = [

@@ -26,7 +26,7 @@ UNIT = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-/:-@\[-`{-~0-9])")
 RUNS = "[" + WHITE.replace("\t-\r", r"\x09-\x0D") + "][ \n]|\x00"
 
 #: Units that one call of the encoder gets, short and so of about equal bytes, and bytes of text taken at once.
-CALL, GROUP = 256, 12 << 20
+CALL, GROUP = 256, 4 << 20
 #: Bytes of remembered pieces of a worker, in each of two generations, and what an entry takes besides its text. Longer pieces are not kept.
 MEMORY, ENTRY, LONGEST = 64 << 20, 180, 64
 
@@ -37,8 +37,9 @@ class Encoder:
     """One tokenizer of a Python worker, with the ids of pieces as little-endian 32-bit bytes.
 
     Arrow splits texts and finds the distinct pieces of a group; only these are looked up.
-    New pieces are encoded many at a time: joined by a special token of the tokenizer,
-    which the library always makes a unit of its own, and cut at its id afterwards.
+    New pieces are encoded many at a time. Those that a blank or line feed sets apart are one text, cut afterwards
+    by the bytes that each id stands for; others are joined by a special token of the tokenizer,
+    which the library always makes a unit of its own, and cut at its id.
     """
 
     def __init__(self, path: str):
@@ -50,6 +51,12 @@ class Encoder:
         plain = [(token.content, at) for at, token in sorted(added.items()) if not (token.lstrip or token.rstrip or token.normalized or token.single_word)]
         self.added = [token.content for token in added.values()]
         self.mark, self.mark_id = plain[0] if plain else ("", -1)
+        # A byte-level vocabulary writes each byte as one character; without a normalizer, ids stand for the bytes of the text.
+        self.spans = np.zeros(0, np.int64)
+        if self.tokenizer.normalizer is None:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.spans = np.zeros(1 + max([*vocabulary.values(), *added], default=0), np.int64)
+            self.spans[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.held = 0
@@ -57,12 +64,38 @@ class Encoder:
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _cut(self, call: list[str], ids: np.ndarray) -> np.ndarray | None:
+        """The number of ids up to the end of each unit of a joined call; None if an id crosses an end."""
+        joined = "".join(call)
+        ends = np.cumsum([len(unit) for unit in call] if joined.isascii() else [len(unit.encode()) for unit in call])
+        reached = np.cumsum(self.spans[ids])
+        at = np.searchsorted(reached, ends)
+        whole = len(reached) and reached[-1] == ends[-1] and np.array_equal(reached[at], ends)
+        return at + 1 if whole else None
+
     def _encode(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of distinct units."""
         found: dict[str, bytes] = {}
+        apart, marked = [], units
+        if len(self.spans):
+            apart = [unit for unit in units if unit[0] in " \n" and not unit[-1].isspace()]
+            if self.added and any(token in "".join(apart) for token in self.added):
+                apart = [unit for unit in apart if not any(token in unit for token in self.added)]
+            marked = list(set(units).difference(apart))
+        for low in range(0, len(apart), CALL):
+            call = apart[low : low + CALL]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(call)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = self._cut(call, ids)
+            if ends is None:
+                marked += call
+                continue
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            found.update(zip(call, [data[a:b] for a, b in zip([0, *ends], ends)]))
         if not self.mark:
-            return {unit: self._alone(unit) for unit in units}
-        calls = [units[low : low + CALL] for low in range(0, len(units), CALL)]
-        for call in calls:
+            found.update((unit, self._alone(unit)) for unit in marked)
+            return found
+        for low in range(0, len(marked), CALL):
+            call = marked[low : low + CALL]
             joined = self.mark.join(call)
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
@@ -84,16 +117,21 @@ class Encoder:
             young.update([(piece, old[piece]) for piece in found if piece in old])
             return [piece for piece in found if piece not in old]
 
-        def learn(piece: str, ids: bytes) -> None:
-            (young if len(piece) <= LONGEST else long)[piece] = ids
-            self.held += ENTRY + len(piece) + len(ids)
-
-        cut = {piece: [piece] if any(token in piece for token in self.added) else UNIT.split(piece) for piece in new(pieces)}
-        for unit, ids in self._encode(new(list({unit for units in cut.values() for unit in units}))).items():
-            learn(unit, ids)
-        for piece, units in cut.items():
-            if len(units) > 1:
-                learn(piece, b"".join([young[unit] if unit in young else long[unit] for unit in units]))
+        def learn(found: dict[str, bytes]) -> None:
+            self.held += ENTRY * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+            if max(map(len, found), default=0) > LONGEST:
+                long.update((piece, ids) for piece, ids in found.items() if len(piece) > LONGEST)
+                found = {piece: ids for piece, ids in found.items() if len(piece) <= LONGEST}
+            young.update(found)
+
+        fresh = new(pieces)
+        split = UNIT.split
+        if self.added and any(token in "".join(fresh) for token in self.added):
+            cut = [[piece] if any(token in piece for token in self.added) else split(piece) for piece in fresh]
+        else:
+            cut = [split(piece) for piece in fresh]
+        learn(self._encode(new(list({unit for units in cut for unit in units}))))
+        learn({piece: b"".join([young[unit] if unit in young else long[unit] for unit in units]) for piece, units in zip(fresh, cut) if len(units) > 1})
         return {**young, **long} if long else young
 
     def _pieces(self, texts: pa.Array) -> pa.ListArray:
@@ -115,8 +153,8 @@ class Encoder:
             high = max(low + 1, int(np.searchsorted(ends, start + GROUP, side="right")))
             lists = self._pieces(texts.slice(low, high - low))
             coded = lists.flatten().dictionary_encode()
-            known = self._look_up(distinct := coded.dictionary.to_pylist())
-            ids = pa.array([known[piece] for piece in distinct], pa.large_binary()).take(coded.indices)
+            known = self._look_up(distinct := coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            ids = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary()).take(coded.indices)
             counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
             _, offsets, data = ids.buffers()
