@@ -42,6 +42,15 @@ def test_matches_all_pairs(spark, monkeypatch):
     assert sorted([tuple(r) for r in found], key=str) == brute(rows)
 
 
+def test_only_lines_with_possible_partners_are_stored(spark):
+    rows = [(1, "one line of some seven words here\nalone"), (None, None), (2, "ONE line of some seven words here\n\nnobody else has this line"), (2, "")]
+    blocks = line_dedup.store_blocks(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    every = [tuple(r) for r in set_join.items_with_partners(blocks, line_dedup.lines).collect()]
+    some = [tuple(r) for r in set_join.items_with_partners(blocks, line_dedup.lines, alone=False).collect()]
+    assert len(every) == 4 and sorted(some) == sorted(r for r in every if r[-1] is not None)
+    assert sorted((r[0], r[4], r[5]) for r in some) == [(1, 0, 3), (2, 0, 3)]
+
+
 def test_empty_table(spark):
     assert line_dedup.without_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

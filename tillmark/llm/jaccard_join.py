@@ -26,11 +26,10 @@ from tillmark.llm.set_join import Index, least_overlap, linked, token_sets
 MU = 0.05
 
 
-def documents(block: Block, only: Container | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+def documents(block: Block, only: Container | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     places = [place for place in range(len(block)) if only is None or (place, 0) in only]
     tokens, starts = token_sets([block.data[block.starts[place] : block.starts[place + 1]] for place in places])
-    for i, place in enumerate(places):
-        yield place, 0, tokens[starts[i] : starts[i + 1]]
+    return np.array(places, np.int64), np.zeros(len(places), np.int64), tokens, starts
 
 
 def links(leader: int, left: list[tuple], right: list[tuple] | None, counted: bool = True) -> Iterator[tuple[int, int, int]]:

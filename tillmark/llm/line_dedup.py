@@ -25,19 +25,18 @@ from tillmark.llm import set_join
 from tillmark.llm.blocks import Block, fresh_name, over_blocks, store_blocks, stored
 from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, token_sets
 
-def lines(block: Block, only: Container | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
-    """The lines with a word; others have no tokens to compare."""
-    at, texts = [], []
+def lines(block: Block, only: Container | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lines with a word: document, number, tokens and where they begin. Others have no tokens to compare."""
+    places, numbers, texts = [], [], []
     for place, text in enumerate(block.texts()):
-        for number, line in enumerate(text.split(b"\n")):
-            if only is None or (place, number) in only:
-                at.append((place, number))
-                texts.append(line)
+        split = text.split(b"\n")
+        wanted = range(len(split)) if only is None else [number for number in range(len(split)) if (place, number) in only]
+        places += [place] * len(wanted)
+        numbers += wanted
+        texts += split if only is None else [split[number] for number in wanted]
     tokens, starts = token_sets(texts)
-    bounds = starts.tolist()
-    for (place, number), low, high in zip(at, bounds[:-1], bounds[1:]):
-        if high > low:
-            yield place, number, tokens[low:high]
+    having = np.diff(starts) > 0
+    return np.array(places, np.int64)[having], np.array(numbers, np.int64)[having], tokens, np.append(starts[:-1][having], len(tokens))
 
 
 def pair_overlap(n: int, m: int) -> int:
@@ -85,9 +84,8 @@ def removed_lines(blocks: DataFrame) -> DataFrame:
     Lines end at line feeds. Ties in doc_id go by the place of the row in the stored
     blocks; null ids come last. Null and empty texts have no line that counts.
     """
-    items = set_join.items_with_partners(blocks, lines)
+    rows = set_join.items_with_partners(blocks, lines, alone=False)
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "block", "place", "line")
-    rows = items.where("node IS NOT NULL")
     nodes = rows.groupBy("node").agg(F.min(at).alias("at"))
     nodes = stored(nodes, "nodes")
     # Places of first lines in order, as one number that keeps their order.

@@ -61,17 +61,23 @@ def shingles(words: np.ndarray) -> np.ndarray:
 _PLAIN = bytes(32 if 9 <= b <= 13 else LOWER[b] for b in range(256))
 
 
+#: Masks of the first 0 to 8 bytes of a number.
+_LAST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
 def hash_all(words: pa.LargeBinaryArray) -> np.ndarray:
     """A hash of each of many words, eight bytes of all of them at a time."""
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     data = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
     sizes, at = np.diff(offsets), offsets[:-1]
     found = mix64(sizes.astype(U64) + _STEPS[0])
+    # The eight bytes from each byte on, as one number; of a word's last ones those behind it are cleared.
+    eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
     for done in range(0, min(int(sizes.max(initial=0)), 64), 8):
         left = np.flatnonzero(sizes > done)
-        chunk = data[at[left, None] + (done + np.arange(8))]
-        chunk[np.arange(8) >= (sizes[left] - done)[:, None]] = 0
-        found[left] = mix64(found[left] * _STEPS[1] + chunk.view(U64).ravel())
+        rest = sizes[left] - done
+        chunk = eight[at[left] + done] & _LAST[np.minimum(rest, 8)]
+        found[left] = mix64(found[left] * _STEPS[1] + chunk)
     for long in np.flatnonzero(sizes > 64).tolist():
         found[long] = xxhash.xxh3_64_intdigest(words[long].as_py())
     return found
@@ -81,14 +87,13 @@ def token_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct tokens of many texts one after another, and where each text's begin.
 
     A token is a hash of WORDS words in a row; a text of fewer words has one token of all. Words are
-    split and told apart by Arrow and hashed together.
+    split by Arrow and hashed together.
     """
     lists = pc.split_pattern(pa.array([text.translate(_PLAIN) for text in texts], pa.large_binary()), pattern=" ")
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     split = pc.list_flatten(lists)
     real = pc.greater(pc.binary_length(split), 0)
-    owner, coded = owner[real.to_numpy(zero_copy_only=False)], split.filter(real).dictionary_encode()
-    words = hash_all(coded.dictionary)[coded.indices.to_numpy()] if len(owner) else np.zeros(0, U64)
+    owner, words = owner[real.to_numpy(zero_copy_only=False)], hash_all(split.filter(real))
     n = max(0, len(words) - WORDS + 1)
     found = words[:n] * _STEPS[0]
     for i in range(1, WORDS):
@@ -113,8 +118,8 @@ def token_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return tokens[fresh], np.searchsorted(of[fresh], np.arange(len(texts) + 1))
 
 
-def least_overlap(n: int) -> int:
-    """Tokens that a set of n must share with any partner."""
+def least_overlap(n):
+    """Tokens that a set of n must share with any partner; n may be an array."""
     return -(-PERCENT * n // 100)
 
 
@@ -122,8 +127,8 @@ def linked(common: int, n: int, m: int) -> bool:
     return 100 * common >= PERCENT * (n + m - common)
 
 
-def slack(n: int) -> int:
-    return max(1, (n - least_overlap(n)) // 2)
+def slack(sizes: np.ndarray) -> np.ndarray:
+    return np.maximum(1, (sizes - least_overlap(sizes)) // 2)
 
 
 def several(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
@@ -145,39 +150,53 @@ def least(keys: np.ndarray, sender: np.ndarray, values: list[np.ndarray]) -> np.
     return out
 
 
-#: (place, line, sorted distinct tokens) of the items of a block: of all, or of those with a place and line in a container.
-Items = Callable[..., Iterator[tuple[int, int, np.ndarray]]]
+#: The items of a block, of all or of those with a (place, line) in a container: places, lines, the sorted distinct tokens
+#: of one after another, and where each one's begin.
+Items = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def items_with_partners(blocks: DataFrame, items: Items) -> DataFrame:
+def fronts(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the items send: the front of each one's sorted tokens, hashed once more, and the item of each.
+
+    The front of a sorted set lies near zero; hashed again its tokens fill all buckets alike.
+    """
+    sizes = np.diff(starts)
+    sent = sizes - least_overlap(sizes) + slack(sizes)
+    owner = np.repeat(np.arange(len(sizes)), np.where(sizes > 0, sent, 0))
+    within = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    return mix64(tokens[starts[owner] + within]), owner
+
+
+def items_with_partners(blocks: DataFrame, items: Items, alone: bool = True) -> DataFrame:
     """One row per item: doc_id, row, block, place, line, n, and node if it may have a partner.
 
-    Equal sets have equal nodes.
+    Equal sets have equal nodes. Without ``alone`` only items that may have a partner come out.
     """
     buckets = n_buckets(blocks)
 
-    def fronts(block: Block) -> tuple[np.ndarray, np.ndarray]:
-        sent = [tokens[: len(tokens) - least_overlap(len(tokens)) + slack(len(tokens))] for _, _, tokens in items(block)]
-        # The front of a sorted set lies near zero; hashed once more its tokens fill all buckets alike.
-        return np.unique(mix64(np.concatenate([*sent, np.zeros(0, U64)]).astype(U64)), return_counts=True)
-
     def ask(block: Block) -> Iterator[dict]:
-        keys, counts = fronts(block)
+        _, _, tokens, starts = items(block)
+        keys, counts = np.unique(fronts(tokens, starts)[0], return_counts=True)
         yield from messages(block, buckets, keys, [np.minimum(counts, 2).astype(np.uint8)])
 
     replies = answered(over_blocks(blocks, ask, MESSAGE), several)
 
-    def choose(block: Block, got: bytes, _: bytes) -> Iterator[dict]:
-        repeated = fronts(block)[0][np.frombuffer(got, np.uint8) > 0]
-        for place, line, tokens in items(block):
-            n = len(tokens)
-            row = {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "line": line, "n": n, "node": None}
-            front = mix64(tokens[: n - least_overlap(n) + slack(n)])
-            if n and len(repeated):
-                at = np.minimum(np.searchsorted(repeated, front), len(repeated) - 1)
-                if int((repeated[at] == front).sum()) >= slack(n):
-                    row["node"] = xxhash.xxh3_64_intdigest(tokens.tobytes()) - 2**63
-            yield row
+    def choose(block: Block, got: bytes, _: bytes) -> Iterator[pa.Table]:
+        place, line, tokens, starts = items(block)
+        front, owner = fronts(tokens, starts)
+        # Answers come in the order of the distinct keys.
+        repeated = np.zeros(0, np.bool_) if not len(front) else (np.frombuffer(got, np.uint8) > 0)[np.unique(front, return_inverse=True)[1]]
+        sizes = np.diff(starts)
+        some = (sizes > 0) & (np.bincount(owner[repeated], minlength=len(sizes)) >= slack(sizes))
+        node = np.zeros(len(sizes), np.int64)
+        for i in np.flatnonzero(some).tolist():
+            node[i] = xxhash.xxh3_64_intdigest(tokens[starts[i] : starts[i + 1]].tobytes()) - 2**63
+        out = np.arange(len(sizes)) if alone else np.flatnonzero(some)
+        at = place[out]
+        yield pa.table({
+            "doc_id": pa.array(block.ids[at], pa.int64(), mask=~block.known[at]), "row": block.rows[at], "block": np.full(len(out), block.number, np.int64),
+            "place": at.astype(np.int32), "line": line[out].astype(np.int32), "n": sizes[out].astype(np.int32), "node": pa.array(node[out], mask=~some[out]),
+        })
 
     found = stored(over_blocks(blocks, choose, "doc_id long, row long, block long, place int, line int, n int, node long", replies), "items")
     release(replies)
@@ -290,8 +309,10 @@ def chosen(block: Block, items: Items, state: bytes) -> Iterator[tuple[np.ndarra
     if state:
         columns = [c.tolist() for c in unpacked(state)]
         wanted = {(place, line): rest for place, line, *rest in zip(*columns)}
-        for place, line, tokens in items(block, wanted):
-            yield tokens, wanted[place, line]
+        places, numbers, tokens, starts = items(block, wanted)
+        bounds = starts.tolist()
+        for place, line, low, high in zip(places.tolist(), numbers.tolist(), bounds[:-1], bounds[1:]):
+            yield tokens[low:high], wanted[place, line]
 
 
 Compare = Callable[[int, list[tuple], list[tuple] | None], Iterator[tuple]]
