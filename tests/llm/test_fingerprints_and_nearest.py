@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tillmark.llm import context_mixing, fingerprints, nearest
 
@@ -199,3 +200,14 @@ def test_isolated_vectors_small_groups_and_other_lengths(spark):
     for i in range(40):
         d = ((other - other[i]) ** 2).sum(1)
         assert by[10_000 + i] == {10_000 + j for j in np.argsort(d)[1:11].tolist()}
+
+
+def test_a_term_brings_its_depth_in_each_draw_in_four_bytes(spark):
+    docs = spark.createDataFrame([(i, f"common{i % 7} term{i % 5} only{i}") for i in range(60)], "doc_id long, text string")
+    found = fingerprints.lexicon(docs, 0.01, 0.5)
+    assert dict(found.dtypes)["depths"] == "int"
+    hashed = found.select("term", "depths", F.array(*[F.xxhash64("term", F.lit(draw)) for draw in range(fingerprints.DRAWS)]).alias("drawn")).collect()
+    assert len(hashed) == 72
+    for row in hashed:
+        deep = [min((h & -h).bit_length() - 1 if h else 64, fingerprints.LEVELS) for h in row.drawn]
+        assert row.depths == sum(depth << 4 * draw for draw, depth in enumerate(deep))

@@ -8,7 +8,7 @@ document has about one term, survive larger edits, so the share of equal hashes
 share of common terms.
 
 All of it is DataFrame functions. Distinct terms of all texts meet the lexicon in a join; a
-lexicon term brings the subsets that it belongs to as bits of one number. At most ``distinct terms of
+lexicon term brings along, in one number, how deep in each draw's subsets it lies. At most ``distinct terms of
 an average document / LOW`` terms have a document frequency of ``LOW`` of all documents or
 more, whatever their number, so Spark can broadcast the lexicon by its measured size.
 """
@@ -24,7 +24,7 @@ from tillmark.sources.scratch import stored
 
 #: The band: terms in this share of all documents.
 LOW, HIGH = 0.01, 0.10
-#: Random draws of subsets; of each, subsets of a half, a quarter, ... of the lexicon. At most 63 in all.
+#: Random draws of subsets, at most 7; of each, subsets of a half, a quarter, ... of the lexicon, at most 15.
 DRAWS, LEVELS = 6, 8
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -34,33 +34,34 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), WHITE)), "")
 
 
-def _bit(draw: int, level: int) -> int:
-    return 1 << (draw * LEVELS + level)
+#: Bits that the depth of a term in one draw takes in the number of all its depths.
+DEPTH = 4
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """(term, code, subsets): the terms whose document frequency lies in the band, a hash of each, and the
-    bits of the subsets that it is in. A draw's subsets lie in one another."""
+    """(term, code, depths): the terms whose document frequency lies in the band, a hash of each, and of each draw how
+    many of its subsets, from the largest, it is in. A draw's subsets lie in one another."""
     per_doc = docs.select(F.explode(terms(F.col("text"))).alias("term"))
     counted = per_doc.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.count()
     in_band = (F.col("df") >= max(1.0, n * low)) & (F.col("df") <= max(2.0, n * high))
     drawn = counted.where(in_band).select("term", F.xxhash64("term").alias("code"), *[F.xxhash64("term", F.lit(draw)).alias(f"d{draw}") for draw in range(DRAWS)])
-    bits = [
-        F.when(F.col(f"d{draw}").bitwiseAND(F.lit((2 << level) - 1)) == 0, F.lit(_bit(draw, level))).otherwise(F.lit(0)).cast("long")
+    depths = [
+        F.when(F.col(f"d{draw}").bitwiseAND(F.lit((2 << level) - 1)) == 0, F.lit(1 << DEPTH * draw)).otherwise(F.lit(0))
         for draw in range(DRAWS) for level in range(LEVELS)
     ]
-    return drawn.select("term", "code", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("subsets"))
+    return drawn.select("term", "code", reduce(lambda a, b: a + b, depths).cast("int").alias("depths"))
 
 
 def subset_hashes(known: Column) -> Column:
-    """A hash of the sorted terms (code, subsets) in each subset, null where there is none."""
+    """A hash of the sorted terms (code, depths) in each subset, null where there is none."""
     def folded(subset: Column) -> Column:
-        start = F.xxhash64(subset)
-        inside = lambda x: F.getbit(x["subsets"], subset.cast("int")) == 1
+        start = F.xxhash64(subset["number"])
+        inside = lambda x: x["depths"].bitwiseAND(subset["draw"]) >= subset["least"]
         return F.nullif(F.aggregate(known, start, lambda hash_, x: F.when(inside(x), F.xxhash64(hash_, x["code"])).otherwise(hash_)), start)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(DRAWS * LEVELS - 1)), folded)
+    subsets = [(draw * LEVELS + level, ((1 << DEPTH) - 1) << DEPTH * draw, (level + 1) << DEPTH * draw) for draw in range(DRAWS) for level in range(LEVELS)]
+    return F.transform(F.array(*[F.struct(F.lit(number).alias("number"), F.lit(draw).alias("draw"), F.lit(least).alias("least")) for number, draw, least in subsets]), folded)
 
 
 def as_text(hashes: Column) -> Column:
@@ -119,9 +120,9 @@ def hashed(texts: DataFrame, words: DataFrame) -> DataFrame:
     own = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.col("about").alias("about")))
     long = entries.select("row", "kind", F.inline(F.concat(own, plain)))
     met = long.join(words, "term", "left").where("about IS NOT NULL OR code IS NOT NULL")
-    # Two lists of numbers in the same order take half the bytes of one list of pairs.
-    listed = met.groupBy("row", "kind").agg(F.first("about", ignorenulls=True).alias("about"), F.collect_list("code").alias("code"), F.collect_list("subsets").alias("subsets"))
-    grouped = listed.select("row", "kind", "about", F.sort_array(F.arrays_zip("code", "subsets")).alias("known"))
+    # Two lists of numbers in the same order, of 8 and 4 bytes, take less than half the bytes of one list of pairs.
+    listed = met.groupBy("row", "kind").agg(F.first("about", ignorenulls=True).alias("about"), F.collect_list("code").alias("code"), F.collect_list("depths").alias("depths"))
+    grouped = listed.select("row", "kind", "about", F.sort_array(F.arrays_zip("code", "depths")).alias("known"))
     hashes = F.when(F.size("known") > 0, subset_hashes(F.col("known"))).otherwise(F.array("about.everything"))
     return grouped.select("row", "kind", F.col("about.about").alias("about"), hashes.alias("hashes"))
 
@@ -142,8 +143,8 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     edited = led.withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     )
-    facts = F.struct("doc_id", "n_chars", "next_row", F.sha2("edited", 256).alias("edited_sha256"))
-    none = F.lit(None).cast("struct<doc_id:bigint,n_chars:bigint,next_row:bigint,edited_sha256:string>")
+    facts = F.struct("doc_id", "n_chars", "next_row", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"))
+    none = F.lit(None).cast("struct<doc_id:bigint,n_chars:bigint,next_row:bigint,edited_sha256:binary>")
     both = edited.select("row", F.inline(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("text"), facts.alias("about")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"), none.alias("about")),
     )))
@@ -152,7 +153,7 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     other = found.where("kind = 1").select("row", F.col("hashes").alias("edited_hashes"))
     after = found.where("kind = 0").select(F.col("row").alias("next_row"), F.col("hashes").alias("next_hashes"))
     return own.join(other, "row").join(after, "next_row").select(
-        "doc_id", "n_chars", "edited_sha256",
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
         as_text(F.col("hashes")).alias("fingerprint"), as_text(F.col("edited_hashes")).alias("edited_fingerprint"),
         likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
         likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
