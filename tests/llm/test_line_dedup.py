@@ -1,6 +1,7 @@
 """Line dedup against all pairs of lines on a small table."""
 
 import random
+import re
 
 from test_jaccard_join import shingle_set
 
@@ -59,3 +60,12 @@ def test_short_lines_go_with_equal_ones(spark):
     rows = [(1, "All rights reserved.\nalone\n\n"), (2, "ALL  rights reserved.\nreserved rights all\n\nx"), (3, "x\nall rights\nX\nall rights reserved. now and then")]
     found = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: list(r.removed) for r in found} == {1: [], 2: [0], 3: [0, 2]}
+
+
+def test_texts_stay_in_their_blocks(spark):
+    rows = [(2, "x\nthe same line"), (None, "the same line\n"), (1, "THE same line\n\ny")]
+    found = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    # The numbers of removed lines are brought to the blocks, not texts to them by a join.
+    assert not re.search(r"Join \[block", found._jdf.queryExecution().executedPlan().toString())
+    assert {r.doc_id: (list(r.removed), r.n_lines, r.text) for r in found.collect()} == {
+        1: ([], 3, "THE same line\n\ny"), 2: ([1], 2, "x"), None: ([0], 2, "")}

@@ -18,11 +18,12 @@ from collections import defaultdict
 from collections.abc import Container, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import set_join
-from tillmark.llm.blocks import Block, fresh_name, over_blocks, store_blocks, stored
+from tillmark.llm.blocks import Block, fresh_name, over_blocks, store_blocks, stored, unpacked
 from tillmark.llm.set_join import PERCENT, Index, least_overlap, linked, token_sets
 
 def lines(block: Block, only: Container | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,7 +90,7 @@ def removed_lines(blocks: DataFrame) -> DataFrame:
     nodes = rows.groupBy("node").agg(F.min(at).alias("at"))
     nodes = stored(nodes, "nodes")
     # Places of first lines in order, as one number that keeps their order.
-    ranked = ordinals(nodes.select("node", "at"))
+    ranked = ordinals(nodes)
     later = set_join.compared(blocks, lines, nodes.join(ranked, "node").select("node", "first", "at.block", "at.place", "at.line"), later_of_similar, "late long").distinct()
     verdict = nodes.select("node", "at").join(later, F.col("node") == F.col("late"), "left")
     verdict = stored(verdict.select(F.col("node").alias("of"), "at", F.col("late").isNotNull().alias("all")), "verdicts")
@@ -101,7 +102,10 @@ def removed_lines(blocks: DataFrame) -> DataFrame:
 def ordinals(nodes: DataFrame) -> DataFrame:
     """(node, first): numbers in the order of ``at``, by ranges."""
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = nodes.repartitionByRange(tasks, "at", "node").sortWithinPartitions("at", "node")
+    # Columns of their own compare faster than a struct.
+    plain = nodes.select("node", "at.*")
+    order = [*(c for c in plain.columns if c != "node"), "node"]
+    sorted_ = plain.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     return stored(sorted_.select("node", F.monotonically_increasing_id().alias("first")), "order")
 
 
@@ -114,17 +118,24 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     empty table gives none. Other columns are not read.
     """
     blocks = store_blocks(docs)
-    per_doc = removed_lines(blocks).groupBy("block", "place").agg(F.array_sort(F.collect_list("line")).alias("removed"))
 
-    def rows(block: Block) -> Iterator[dict]:
-        for place, text in enumerate(block.texts()):
-            yield {"doc_id": int(block.ids[place]) if block.known[place] else None, "row": int(block.rows[place]), "block": block.number, "place": place, "text": text.decode()}
-
-    texts = over_blocks(blocks, rows, "doc_id long, row long, block long, place int, text string")
-    joined = texts.join(per_doc, ["block", "place"], "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
-    split = F.split("text", "\n", -1)
-    kept = F.filter(split, lambda _, i: ~F.array_contains("removed", i))
-    return joined.select("doc_id", "row", F.size(split).alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    def cut(block: Block, _: bytes, state: bytes) -> Iterator[pa.Table]:
+        gone: dict[int, list[int]] = defaultdict(list)
+        for place, line in zip(*map(np.ndarray.tolist, unpacked(state))) if state else ():
+            gone[place].append(line)
+        kept, n_lines = list(block.texts()), []
+        for place, text in enumerate(kept):
+            n_lines.append(text.count(b"\n") + 1)
+            if place in gone:
+                removed = set(gone[place])
+                kept[place] = b"\n".join([line for number, line in enumerate(text.split(b"\n")) if number not in removed])
+        yield pa.table({
+            "doc_id": pa.array(block.ids, pa.int64(), mask=~block.known), "row": block.rows, "n_lines": n_lines,
+            "removed": pa.array([gone.get(place, []) for place in range(len(kept))], pa.list_(pa.int32())), "text": pa.array(kept, pa.binary()),
+        })
+
+    # The numbers of lines go to the texts, which lie in their blocks already.
+    return over_blocks(blocks, cut, "doc_id long, row long, n_lines int, removed array<int>, text string", set_join.noted(removed_lines(blocks), []))
 
 
 def with_lines_removed(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,46 +64,48 @@ _PLAIN = bytes(32 if 9 <= b <= 13 else LOWER[b] for b in range(256))
 _LAST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
-def hash_all(words: pa.LargeBinaryArray) -> np.ndarray:
-    """A hash of each of many words, eight bytes of all of them at a time."""
-    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    data = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
-    sizes, at = np.diff(offsets), offsets[:-1]
-    found = mix64(sizes.astype(U64) + _STEPS[0])
+def hash_all(data: bytes, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each of many words, eight bytes of all of them at a time; behind the last word lie eight more bytes."""
+    found = mix64(np.arange(int(sizes.max(initial=0)) + 1).astype(U64) + _STEPS[0])[sizes]
     # The eight bytes from each byte on, as one number; of a word's last ones those behind it are cleared.
     eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    left, rest = np.arange(len(sizes)), sizes
     for done in range(0, min(int(sizes.max(initial=0)), 64), 8):
-        left = np.flatnonzero(sizes > done)
-        rest = sizes[left] - done
+        if done:
+            left = left[rest > 8]
+            rest = sizes[left] - done
         chunk = eight[at[left] + done] & _LAST[np.minimum(rest, 8)]
         found[left] = mix64(found[left] * _STEPS[1] + chunk)
     for long in np.flatnonzero(sizes > 64).tolist():
-        found[long] = xxhash.xxh3_64_intdigest(words[long].as_py())
+        found[long] = xxhash.xxh3_64_intdigest(data[at[long] : at[long] + sizes[long]])
     return found
 
 
 def token_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct tokens of many texts one after another, and where each text's begin.
 
-    A token is a hash of WORDS words in a row; a text of fewer words has one token of all. Words are
-    split by Arrow and hashed together.
+    A token is a hash of WORDS words in a row; a text of fewer words has one token of all. Words of all
+    texts are found and hashed together.
     """
-    lists = pc.split_pattern(pa.array([text.translate(_PLAIN) for text in texts], pa.large_binary()), pattern=" ")
-    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    split = pc.list_flatten(lists)
-    real = pc.greater(pc.binary_length(split), 0)
-    owner, words = owner[real.to_numpy(zero_copy_only=False)], hash_all(split.filter(real))
+    data = b" ".join([b"", *texts, b"        "]).translate(_PLAIN)
+    blank = np.frombuffer(data, np.uint8) == 32
+    # Places where a word begins and where one ends, in turn; the text begins and ends with blanks.
+    turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    first, sizes = turns[::2], turns[1::2] - turns[::2]
+    words = hash_all(data, first, sizes)
+    bounds = np.cumsum([1, *[len(text) + 1 for text in texts]])
+    counts = np.diff(np.searchsorted(first, bounds))
+    owner = np.repeat(np.arange(len(texts)), counts)
     n = max(0, len(words) - WORDS + 1)
     found = words[:n] * _STEPS[0]
     for i in range(1, WORDS):
         found = mix64(found) + words[i : n + i] * _STEPS[i]
-    counts = np.bincount(owner, minlength=len(texts))
     few = (counts > 0) & (counts < WORDS)
-    own, first = counts[few], (np.cumsum(counts) - counts)[few]
+    own, begin = counts[few], (np.cumsum(counts) - counts)[few]
     whole = mix64(own.astype(U64))
     for i in range(WORDS - 1):
         more = own > i
-        whole[more] = mix64(whole[more] * _STEPS[0] + words[first[more] + i])
+        whole[more] = mix64(whole[more] * _STEPS[0] + words[begin[more] + i])
     # Each text's tokens in a stretch of their own, sorted there.
     sizes = np.where(few, 1, np.maximum(counts - WORDS + 1, 0))
     ends = np.cumsum(sizes)
@@ -113,9 +114,9 @@ def token_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     tokens[alone] = whole
     for low, high in zip((ends - sizes)[sizes > 1].tolist(), ends[sizes > 1].tolist()):
         tokens[low:high].sort()
-    of = np.repeat(np.arange(len(texts)), sizes)
-    fresh = np.append(True, (np.diff(tokens) != 0) | (np.diff(of) != 0))[: len(tokens)]
-    return tokens[fresh], np.searchsorted(of[fresh], np.arange(len(texts) + 1))
+    fresh = np.append(True, tokens[1:] != tokens[:-1])[: len(tokens)]
+    fresh[(ends - sizes)[sizes > 0]] = True
+    return tokens[fresh], np.append(0, np.cumsum(fresh))[np.append(0, ends)]
 
 
 def least_overlap(n):
@@ -257,30 +258,23 @@ def around_leaders(blocks: DataFrame, items: Items, notes: DataFrame) -> DataFra
     """
     buckets = n_buckets(blocks)
 
-    def all_tokens(block: Block, state: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        sets = [tokens for tokens, _ in chosen(block, items, state)]
-        keys, n = np.unique(mix64(np.concatenate([*sets, np.zeros(0, U64)]).astype(U64)), return_counts=True)
-        return sets, keys, n
-
     def ask(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
-        _, keys, n = all_tokens(block, state)
+        keys, n = np.unique(mix64(chosen(block, items, state)[0]), return_counts=True)
         yield from messages(block, buckets, keys, [n.astype(np.uint32)])
 
     counts = answered(over_blocks(blocks, ask, MESSAGE, notes), counted)
 
     def rare(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
         """A message per token that two nodes have, with the nodes, packed; and what the block needs to read the answers."""
-        sets, keys, _ = all_tokens(block, state)
-        n = np.frombuffer(got, np.uint32)
-        owners, fronts = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
-        for tokens, (node,) in chosen(block, items, state):
-            own = mix64(tokens)
-            often = n[np.searchsorted(keys, own)]
-            front = np.lexsort((own, often))[: len(own) - least_overlap(len(own)) + 1]
-            front = own[front[often[front] > 1]]
-            fronts.append(front)
-            owners.append(np.full(len(front), node))
-        token, owner = np.concatenate(fronts), np.concatenate(owners)
+        tokens, starts, columns = chosen(block, items, state)
+        own, sizes = mix64(tokens), np.diff(starts)
+        often = np.frombuffer(got, np.uint32)[np.unique(own, return_inverse=True)[1]]
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        # Each set's tokens stay in their stretch, rare ones first.
+        order = np.lexsort((own, often, of))
+        front = np.arange(len(own)) - starts[of] < (sizes - least_overlap(sizes) + 1)[of]
+        order = order[front & (often[order] > 1)]
+        token, owner = own[order], (columns[0] if columns else of)[of[order]]
         order = np.lexsort((owner, token))
         token, owner = token[order], owner[order]
         first = np.flatnonzero(np.append(True, np.diff(token) != 0)) if len(token) else order
@@ -291,28 +285,28 @@ def around_leaders(blocks: DataFrame, items: Items, notes: DataFrame) -> DataFra
     own_notes = asked.where(F.col("bucket") == NOTE).select("block", "bucket", F.col("sent").alias("answers"))
     leaders = answered(asked.where(F.col("bucket") != NOTE), least)
 
-    def lead(block: Block, got: bytes, state: bytes) -> Iterator[dict]:
+    def lead(block: Block, got: bytes, state: bytes) -> Iterator[pa.Table]:
         if state:
             token, owner = unpacked(state)
             if len(token):
                 found = np.frombuffer(got, np.int64)[np.cumsum(np.append(0, np.diff(token) != 0))]
-                for a, b in np.unique(np.column_stack([found, owner]), axis=0).tolist():
-                    yield {"leader": a, "node": b}
+                order = np.lexsort((owner, found))
+                found, owner = found[order], owner[order]
+                fresh = np.append(True, (np.diff(found) != 0) | (np.diff(owner) != 0))
+                yield pa.table({"leader": found[fresh], "node": owner[fresh]})
 
     pairs = stored(over_blocks(blocks, lead, "leader long, node long", leaders.unionByName(own_notes)).distinct(), "around")
     release(counts, asked, leaders)
     return pairs
 
 
-def chosen(block: Block, items: Items, state: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
-    """The tokens of the block's noted items and what the note says of them."""
-    if state:
-        columns = [c.tolist() for c in unpacked(state)]
-        wanted = {(place, line): rest for place, line, *rest in zip(*columns)}
-        places, numbers, tokens, starts = items(block, wanted)
-        bounds = starts.tolist()
-        for place, line, low, high in zip(places.tolist(), numbers.tolist(), bounds[:-1], bounds[1:]):
-            yield tokens[low:high], wanted[place, line]
+def chosen(block: Block, items: Items, state: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The tokens of the block's noted items one after another, where each one's begin, and what the note says of them."""
+    if not state:
+        return np.zeros(0, U64), np.zeros(1, np.int64), []
+    place, line, *rest = unpacked(state)
+    _, _, tokens, starts = items(block, set(zip(place.tolist(), line.tolist())))
+    return tokens, starts, rest
 
 
 Compare = Callable[[int, list[tuple], list[tuple] | None], Iterator[tuple]]
@@ -333,9 +327,11 @@ def compared(blocks: DataFrame, items: Items, nodes: DataFrame, compare: Compare
     # As many leaders as a node has rare tokens at most.
     leaders = around.groupBy("node").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
 
-    def send(block: Block, _: bytes, state: bytes) -> Iterator[dict]:
-        for tokens, (node, first) in chosen(block, items, state):
-            yield {"node": node, "first": first, "tokens": tokens.tobytes()}
+    def send(block: Block, _: bytes, state: bytes) -> Iterator[pa.Table]:
+        tokens, starts, columns = chosen(block, items, state)
+        if columns:
+            sets = [tokens[low:high].tobytes() for low, high in zip(starts[:-1].tolist(), starts[1:].tolist())]
+            yield pa.table({"node": columns[0], "first": columns[1], "tokens": pa.array(sets, pa.binary())})
 
     needed = noted(nodes.join(leaders.select("node"), "node"), ["node", "first"])
     sets = over_blocks(blocks, send, "node long, first long, tokens binary", needed)
