@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillmark.functions.dates import fits_format
 from tillmark.operators import metric_contract, quality
 from tillmark.plans.catalog import METRIC_CONTRACT
-from tillmark.sources import delimited, fixtures
+from tillmark.sources import delimited, fixtures, scratch
 
 PARCELS = {
     "dataset": {"primary_key": ["parcel"]}, "expectations": {"min_rows": 2, "max_rows": 50},
@@ -198,6 +198,47 @@ def test_hot_key_is_dealt_over_tasks(spark):
     assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
 
+def test_only_rows_of_repeated_keys_travel_with_their_texts(spark, monkeypatch):
+    kept, store = {}, quality.stored
+
+    def watched(frame, name, codec=None):
+        kept[name] = store(frame, name, codec)
+        return kept[name]
+
+    monkeypatch.setattr(quality, "stored", watched)
+    table = spark.createDataFrame([(i, f"K{i % 990}" if i else None) for i in range(1000)] + [(1, "K1"), (None, "K990"), (None, "K990")], "row long, parcel string")
+    contract = {"dataset": {"primary_key": ["parcel"]}, "columns": [{"name": "parcel", "type": "string"}]}
+    found = sorted(r.row for r in quality.key_issues(table, contract, "row").collect() if r.row is not None)
+    assert found == [1, *range(991, 1000)]
+    assert kept["keys"].count() == 2 * 9 + 1
+
+
+def test_all_checks_read_one_stored_table(spark, monkeypatch):
+    kept, store = [], quality.stored
+
+    def watched(frame, name, codec=None):
+        kept.append(name)
+        return store(frame, name, codec)
+
+    monkeypatch.setattr(quality, "stored", watched)
+    table = spark.range(20).selectExpr("id AS row", "id % 19 AS parcel", "'x' AS `Parcel `", "id AS other")
+    contract = {"dataset": {"primary_key": ["parcel"]}, "expectations": {"max_rows": 5}, "columns": [{"name": "parcel", "type": "integer", "max": 17}, {"name": "Parcel ", "type": "string"}]}
+    issues = quality.issue_list(table, contract, "row")
+    assert kept.count("checked") == 1 and not [f for f in plan(issues).splitlines() if "Range (" in f]
+    assert sorted((r.code, r.row) for r in issues.collect()) == [("above_maximum", 18), ("above_maximum_rows", None), ("duplicate_primary_key", 19)]
+    (summary,) = quality.quality_summary(table, contract, "row").collect()
+    assert (summary.row_count, summary.column_count, summary.issue_count) == (20, 4, 3) and kept.count("checked") == 2
+
+
+def test_shuffle_files_of_a_stored_table_go(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with scratch.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
+    assert scratch.stored(spark.range(100).repartition(3), "rows").count() == 100
+
+
 METRICS = [
     {"id": "parcels", "aggregation": "distinct_count", "column": "parcel", "expected": 2, "tolerance": 0},
     {"id": "load", "aggregation": "sum", "column": "weight", "expected": 79.79, "tolerance": 0.01},
